@@ -17,7 +17,7 @@ import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import add, and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,50 +75,96 @@ def orphaned_keys(child: DataFrame, column: str, parent: DataFrame, parent_key:
     return wanted.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 
-def mark_members(
-    df: DataFrame, key_sets: Sequence[KeySet], bound: SizeBound = SizeBound()
-) -> DataFrame:
-    """Add one boolean column per key set: is this row's key in the set? All rows are kept."""
+@dataclass(frozen=True)
+class SettledKeys:
+    """A key set stored in the shared folder, with its measured size."""
+
+    key_set: KeySet
+    stored: DataFrame
+    names: tuple[str, ...]
+    rows: int
+    bytes: int
+    has_null: bool
+
+
+def _stored_names(position: int, key_set: KeySet) -> tuple[str, ...]:
+    return tuple(f"_k{position}_{c}" for c in key_set.columns)
+
+
+def _tagged(position: int, key_set: KeySet) -> DataFrame:
+    """The keys under names of their own, with the set, the width and the NULLs of each key."""
+    columns = [F.col(c) for c in key_set.columns]
+    widths = [F.coalesce(F.octet_length(c.cast("string")), F.lit(0)) for c in columns]
+    return key_set.keys.select(
+        F.lit(position).alias("_set"),
+        reduce(add, widths).alias("_width"),
+        reduce(or_, [c.isNull() for c in columns]).alias("_null"),
+        *[c.alias(name) for c, name in zip(columns, _stored_names(position, key_set))],
+    )
+
+
+def settle(key_sets: Sequence[KeySet]) -> list[SettledKeys]:
+    """Compute all sets in one job into a reliable checkpoint, and measure each."""
     if not key_sets:
-        return df
-    shared_folder(df.sparkSession)
-    settled = reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True),
-        [
-            ks.keys.select(
-                F.lit(ks.marker).alias("_set"),
-                *[F.col(c).alias(f"_{ks.marker}_{c}") for c in ks.columns],
-            )
-            for ks in key_sets
-        ],
+        return []
+    tagged = [_tagged(i, key_set) for i, key_set in enumerate(key_sets)]
+    shared_folder(tagged[0].sparkSession)
+    stored = reduce(
+        lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged
     ).checkpoint()
-    stored = [c for c in settled.columns if c != "_set"]
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in stored],
-    )
     sizes = {
         row["_set"]: row
-        for row in settled.groupBy("_set")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
+        for row in stored.groupBy("_set")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum("_width").alias("bytes"),
+            F.bool_or("_null").alias("has_null"),
+        )
         .collect()  # one row per key set
     }
-    for ks in key_sets:
-        size = sizes.get(ks.marker)
-        if size is None:
-            df = df.withColumn(ks.marker, F.lit(False))
-            continue
-        names = [f"_{ks.marker}_{c}" for c in ks.columns]
-        found = f"_{ks.marker}_found"
-        keys = settled.filter(F.col("_set") == ks.marker).select(*names, F.lit(True).alias(found))
-        small = size["rows"] <= bound.rows and size["bytes"] <= bound.bytes
-        keys = F.broadcast(keys) if small else keys.hint("merge")
-        same_key = reduce(
-            and_, [F.col(c).eqNullSafe(F.col(name)) for c, name in zip(ks.columns, names)]
+    settled = []
+    for i, key_set in enumerate(key_sets):
+        size = sizes.get(i)
+        names = _stored_names(i, key_set)
+        settled.append(
+            SettledKeys(
+                key_set,
+                stored.filter(F.col("_set") == i).select(*names),
+                names,
+                size["rows"] if size else 0,
+                size["bytes"] if size else 0,
+                bool(size and size["has_null"]),
+            )
         )
+    return settled
+
+
+def mark(
+    df: DataFrame, settled: Sequence[SettledKeys], bound: SizeBound = SizeBound()
+) -> DataFrame:
+    """Add one boolean column per settled set: is this row's key in it? All rows are kept."""
+    for keys in settled:
+        marker = keys.key_set.marker
+        if keys.rows == 0:
+            df = df.withColumn(marker, F.lit(False))
+            continue
+        found = f"{marker}_found"
+        members = keys.stored.withColumn(found, F.lit(True))
+        small = keys.rows <= bound.rows and keys.bytes <= bound.bytes
+        members = F.broadcast(members) if small else members.hint("merge")
+        pairs = [(F.col(c), F.col(name)) for c, name in zip(keys.key_set.columns, keys.names)]
+        # A null-safe comparison costs a wider hash key, so it is used only where a key is NULL.
+        same = [a.eqNullSafe(b) if keys.has_null else a == b for a, b in pairs]
         df = (
-            df.join(keys, same_key, "left")
-            .withColumn(ks.marker, F.col(found).isNotNull())
-            .drop(found, *names)
+            df.join(members, reduce(and_, same), "left")
+            .withColumn(marker, F.col(found).isNotNull())
+            .drop(found, *keys.names)
         )
     return df
+
+
+def mark_members(
+    df: DataFrame, key_sets: Sequence[KeySet], bound: SizeBound = SizeBound()
+) -> DataFrame:
+    """Settle the sets and mark the rows of one table."""
+    return mark(df, settle(key_sets), bound)

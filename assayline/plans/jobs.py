@@ -16,7 +16,7 @@ from assayline import fixed_values as fixed
 from assayline.operators import metrics
 from assayline.operators.lookup import shared_folder
 from assayline.plans import gold
-from assayline.plans.silver import flagged_table
+from assayline.plans.silver import flagged_tables
 from assayline.sources.files import add_audit_columns, read_csv, resolve_source_path
 from assayline.sources.tables import overwrite_table
 from assayline.specs import TABLES, TableSpec
@@ -113,8 +113,9 @@ def run_silver(
     """
     day = as_of or date.today()
     bronze = {spec.name: spark.table(spec.bronze) for spec in specs}
+    flagged = flagged_tables(bronze, day, specs)
     for spec in specs:
-        overwrite_table(flagged_table(bronze[spec.name], spec, day, bronze), spec.silver, fmt)
+        overwrite_table(flagged[spec.name], spec.silver, fmt)
     silver = {spec.silver: spark.table(spec.silver) for spec in specs}
 
     overwrite_table(metrics.quality_report(silver), QUALITY_REPORT, fmt)

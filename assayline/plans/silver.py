@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,73 +10,72 @@ from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
 from assayline.operators import checks
-from assayline.operators.lookup import SizeBound, mark_members
-from assayline.specs import CUSTOMERS, ORDERS, PRODUCTS, TableSpec
+from assayline.operators.lookup import KeySet, SizeBound, mark, settle
+from assayline.specs import TABLES, TableSpec
 
+SPECS = {spec.name: spec for spec in TABLES}
 
-def _typed_keys(df: DataFrame, spec: TableSpec, key: str) -> DataFrame:
-    return df.select(F.col(key).try_cast(spec.schema[key].dataType).alias(key))
 
-
-def marked_table(
-    bronze: DataFrame,
-    spec: TableSpec,
-    as_of: date,
-    parents: Mapping[str, DataFrame] | None = None,
-    bound: SizeBound = SizeBound(),
-) -> DataFrame:
-    """The flagged table with its duplicate and orphan markers still in place.
-
-    Type rules see the values as landed; the other checks see typed columns. The key sets of all
-    checks are settled in one job.
-    """
-    typed = (
+def _typed(bronze: DataFrame, spec: TableSpec, as_of: date) -> DataFrame:
+    """Type rules see the values as landed; all other checks see the declared types."""
+    return (
         bronze.transform(checks.flag_types, spec.rules, as_of)
         .transform(checks.standardize, spec.schema, False)
         .transform(checks.flag_completeness, spec.completeness)
     )
-    parent_keys = {
-        fk.parent: _typed_keys(parents[fk.parent], _SPECS[fk.parent], fk.parent_key)
-        for fk in spec.foreign_keys
-    }
-    key_sets = [
+
+
+def _key_sets(typed: DataFrame, spec: TableSpec, bronze: Mapping[str, DataFrame]) -> list[KeySet]:
+    parents = {}
+    for fk in spec.foreign_keys:
+        kind = SPECS[fk.parent].schema[fk.parent_key].dataType
+        key = F.col(fk.parent_key).try_cast(kind).alias(fk.parent_key)
+        parents[fk.parent] = bronze[fk.parent].select(key)
+    return [
         checks.duplicate_keys(typed, [spec.primary_key]),
-        *checks.orphan_keys(typed, spec.foreign_keys, parent_keys),
+        *checks.orphan_keys(typed, spec.foreign_keys, parents),
     ]
-    flagged = (
-        mark_members(typed, key_sets, bound)
-        .withColumn(checks.UNIQUENESS, checks.uniqueness_flag([spec.primary_key]))
-        .withColumn(checks.REFERENTIAL, checks.referential_flag(spec.foreign_keys))
-    )
-    return checks.combine_flags(flagged)
 
 
-def flagged_table(
-    bronze: DataFrame,
-    spec: TableSpec,
+def marked_tables(
+    bronze: Mapping[str, DataFrame],
     as_of: date,
-    parents: Mapping[str, DataFrame] | None = None,
+    specs: Sequence[TableSpec] = TABLES,
     bound: SizeBound = SizeBound(),
-) -> DataFrame:
-    """All rows of the landed table: typed columns, other columns, the four flags, the verdict."""
-    marked = marked_table(bronze, spec, as_of, parents, bound)
-    added = [*fixed.CHECK_COLUMNS.values(), fixed.VERDICT_COLUMN]
-    others = [c for c in bronze.columns if c not in spec.schema.fieldNames()]
-    return marked.select(*spec.schema.fieldNames(), *others, *added)
-
+) -> dict[str, DataFrame]:
+    """The flagged tables with their duplicate and orphan markers still in place.
 
-_SPECS = {spec.name: spec for spec in (CUSTOMERS, PRODUCTS, ORDERS)}
-
-
-def silver_customers(customers: DataFrame, as_of: date) -> DataFrame:
-    return flagged_table(customers, CUSTOMERS, as_of)
-
-
-def silver_products(products: DataFrame, as_of: date) -> DataFrame:
-    return flagged_table(products, PRODUCTS, as_of)
-
-
-def silver_orders(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, as_of: date
-) -> DataFrame:
-    return flagged_table(orders, ORDERS, as_of, {"customers": customers, "products": products})
+    ``bronze`` holds the landed tables by name, parents included. The key sets of all tables are
+    settled in one job; after it, each table is a single pass over its rows.
+    """
+    typed = {spec.name: _typed(bronze[spec.name], spec, as_of) for spec in specs}
+    key_sets = {spec.name: _key_sets(typed[spec.name], spec, bronze) for spec in specs}
+    settled = iter(settle([ks for spec in specs for ks in key_sets[spec.name]]))
+    marked = {}
+    for spec in specs:
+        own = [next(settled) for _ in key_sets[spec.name]]
+        flagged = (
+            mark(typed[spec.name], own, bound)
+            .withColumn(checks.UNIQUENESS, checks.uniqueness_flag([spec.primary_key]))
+            .withColumn(checks.REFERENTIAL, checks.referential_flag(spec.foreign_keys))
+        )
+        marked[spec.name] = checks.combine_flags(flagged)
+    return marked
+
+
+def flagged_tables(
+    bronze: Mapping[str, DataFrame],
+    as_of: date,
+    specs: Sequence[TableSpec] = TABLES,
+    bound: SizeBound = SizeBound(),
+) -> dict[str, DataFrame]:
+    """All rows of the landed tables: typed columns, other columns, the four flags, the verdict."""
+    marked = marked_tables(bronze, as_of, specs, bound)
+    flagged = {}
+    for spec in specs:
+        declared = spec.schema.fieldNames()
+        others = [c for c in bronze[spec.name].columns if c not in declared]
+        flagged[spec.name] = marked[spec.name].select(
+            *declared, *others, *fixed.CHECK_COLUMNS.values(), fixed.VERDICT_COLUMN
+        )
+    return flagged

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.functions.classify import first_match
 from assayline.operators.metrics import rows_of
 
 
@@ -30,14 +29,16 @@ def _of_column(defects: Sequence[Defect], column: str) -> list[Defect]:
 
 
 def inject_defects(df: DataFrame, defects: Sequence[Defect]) -> DataFrame:
-    def damaged(column: str) -> Column:
+    types = {field.name: field.dataType.simpleString() for field in df.schema}
+
+    def damaged(column: str) -> str:
         cases = [
-            (F.expr(d.where), F.expr(d.value).cast(df.schema[column].dataType))
+            f"WHEN {d.where} THEN CAST({d.value} AS {types[column]})"
             for d in _of_column(defects, column)
         ]
-        return first_match(cases, F.col(column)).alias(column)
+        return f"CASE {' '.join(cases)} ELSE `{column}` END AS `{column}`" if cases else f"`{column}`"
 
-    return df.select(*[damaged(c) for c in df.columns])
+    return df.selectExpr(*[damaged(c) for c in df.columns])
 
 
 def defect_summary(df: DataFrame, table_name: str, defects: Sequence[Defect]) -> DataFrame:

@@ -110,9 +110,8 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     return inject_defects(clean_orders(spark, folder), ORDER_DEFECTS)
 
 
+BUILDERS = {"customers": customers, "products": products, "orders": orders}
+
+
 def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        "customers": customers(spark, folder),
-        "products": products(spark, folder),
-        "orders": orders(spark, folder),
-    }
+    return {name: build(spark, folder) for name, build in BUILDERS.items()}

@@ -14,7 +14,7 @@ from assayline.operators import checks, metrics
 from assayline.operators.lookup import shared_folder
 from assayline.plans import dashboard, gold, reconcile
 from assayline.plans.dashboard import DashboardFilters
-from assayline.plans.silver import flagged_table, marked_table
+from assayline.plans.silver import flagged_tables, marked_tables
 from assayline.samples import star
 from assayline.samples.defects import Defect, defect_summary, inject_defects
 from assayline.sources.files import (
@@ -50,12 +50,11 @@ def _bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def _silver(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
     """Flagged tables by name; all three unless some are named."""
-    bronze = _bronze(spark, folder)
-    return {
-        spec.name: flagged_table(bronze[spec.name], spec, AS_OF, bronze)
-        for spec in TABLES
-        if not names or spec.name in names
-    }
+    wanted = [spec for spec in TABLES if not names or spec.name in names]
+    needed = {spec.name for spec in wanted}
+    needed |= {fk.parent for spec in wanted for fk in spec.foreign_keys}
+    bronze = {name: star.BUILDERS[name](spark, folder) for name in needed}
+    return flagged_tables(bronze, AS_OF, wanted)
 
 
 def _silver_named(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -270,7 +269,7 @@ def dq_type_extended(spark: SparkSession, folder: str) -> DataFrame:
         parts.append(
             checks.flag_types(text, spec.extended_rules, AS_OF).select(
                 F.lit(spec.silver).alias("table_name"),
-                F.col(spec.primary_key).alias("row_key"),
+                F.col(spec.primary_key).cast("bigint").alias("row_key"),
                 checks.TYPE_VALIDATION,
             )
         )
@@ -410,15 +409,10 @@ def silver_quality_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def quality_metrics_extended(spark: SparkSession, folder: str) -> DataFrame:
-    bronze = _bronze(spark, folder)
+    marked = marked_tables(_bronze(spark, folder), AS_OF)
     return metrics.union_all(
         [
-            metrics.extended_report(
-                marked_table(bronze[spec.name], spec, AS_OF, bronze),
-                spec,
-                RUN_ID,
-                F.lit(RUN_TIMESTAMP),
-            )
+            metrics.extended_report(marked[spec.name], spec, RUN_ID, F.lit(RUN_TIMESTAMP))
             for spec in TABLES
         ]
     )
@@ -512,11 +506,12 @@ def gold_weekly_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def gold_key_null_check(spark: SparkSession, folder: str) -> DataFrame:
-    revenue = _revenue(spark, folder)
+    silver = _silver(spark, folder)
+    revenue = gold.revenue_by_customer(silver["orders"], silver["customers"], AS_OF)
     return metrics.union_all(
         [
             metrics.key_null_check(
-                _sales(spark, folder),
+                gold.sales_by_product(silver["orders"], silver["products"]),
                 "gold_sales_by_product",
                 ["product_id", "product_name", "category", "total_revenue"],
             ),
