@@ -136,18 +136,23 @@ def flag_types(df: DataFrame, rule_list: Sequence[Rule], as_of: date) -> DataFra
     return df.withColumn(TYPE_VALIDATION, type_flag(rule_list, as_of))
 
 
+def add_absent_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Declared columns that the frame lacks, as NULL."""
+    absent = [f for f in schema if f.name not in df.columns]
+    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+
+
 def standardize(df: DataFrame, schema: T.StructType, trim_text: bool = True) -> DataFrame:
     """Columns of the schema with their declared types, others unchanged and after them.
 
     Columns are matched by name; an absent one becomes NULL. Values that do not parse become NULL,
     so type rules belong before this step.
     """
+    complete = add_absent_columns(df, schema)
 
     def typed(field: T.StructField) -> Column:
-        if field.name not in df.columns:
-            return F.lit(None).cast(field.dataType).alias(field.name)
         column = F.col(field.name)
-        actual = df.schema[field.name].dataType
+        actual = complete.schema[field.name].dataType
         if isinstance(actual, T.StringType) and trim_text:
             column = F.trim(column)
         if actual != field.dataType:
@@ -155,7 +160,8 @@ def standardize(df: DataFrame, schema: T.StructType, trim_text: bool = True) ->
         return column.alias(field.name)
 
     declared = set(schema.fieldNames())
-    return df.select(*[typed(f) for f in schema], *[c for c in df.columns if c not in declared])
+    others = [c for c in df.columns if c not in declared]
+    return complete.select(*[typed(f) for f in schema], *others)
 
 
 # ---- referential integrity ---------------------------------------------------------------------

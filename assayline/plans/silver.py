@@ -19,7 +19,8 @@ SPECS = {spec.name: spec for spec in TABLES}
 def _typed(bronze: DataFrame, spec: TableSpec, as_of: date) -> DataFrame:
     """Type rules see the values as landed; all other checks see the declared types."""
     return (
-        bronze.transform(checks.flag_types, spec.rules, as_of)
+        bronze.transform(checks.add_absent_columns, spec.schema)
+        .transform(checks.flag_types, spec.rules, as_of)
         .transform(checks.standardize, spec.schema, False)
         .transform(checks.flag_completeness, spec.completeness)
     )
@@ -30,7 +31,8 @@ def _key_sets(typed: DataFrame, spec: TableSpec, bronze: Mapping[str, DataFrame]
     for fk in spec.foreign_keys:
         kind = SPECS[fk.parent].schema[fk.parent_key].dataType
         key = F.col(fk.parent_key).try_cast(kind).alias(fk.parent_key)
-        parents[fk.parent] = bronze[fk.parent].select(key)
+        parent = checks.add_absent_columns(bronze[fk.parent], SPECS[fk.parent].schema)
+        parents[fk.parent] = parent.select(key)
     return [
         checks.duplicate_keys(typed, [spec.primary_key]),
         *checks.orphan_keys(typed, spec.foreign_keys, parents),
