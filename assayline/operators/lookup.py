@@ -65,14 +65,26 @@ def duplicated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").drop("_rows")
 
 
-def orphaned_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Non-NULL foreign keys of the child that no parent row holds.
+def key_presence(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Each key of either side: the child rows that hold it, and whether a parent row does.
 
-    Both sides are reduced to distinct keys before they meet, on the partitioning the join needs.
+    One aggregate over the union of both key columns: it combines before the shuffle on either side,
+    needs no sort, and cannot be turned into a join of uncombined rows.
     """
-    wanted = child.filter(F.col(column).isNotNull()).select(column).distinct()
-    known = parent.select(F.col(parent_key).alias("_known")).distinct()
-    return wanted.join(known, F.col(column) == F.col("_known"), "left_anti")
+    key = F.col(parent_key).try_cast(child.schema[column].dataType).alias(column)
+    held = child.select(column, F.lit(1).alias("_rows"), F.lit(False).alias("_known"))
+    known = parent.select(key, F.lit(0).alias("_rows"), F.lit(True).alias("_known"))
+    return (
+        held.unionByName(known.filter(F.col(column).isNotNull()))
+        .groupBy(column)
+        .agg(F.sum("_rows").alias("rows"), F.bool_or("_known").alias("known"))
+    )
+
+
+def orphaned_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Non-NULL foreign keys of the child that no parent row holds."""
+    presence = key_presence(child, column, parent, parent_key)
+    return presence.filter(F.col(column).isNotNull() & ~F.col("known")).select(column)
 
 
 @dataclass(frozen=True)

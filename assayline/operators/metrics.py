@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from assayline import fixed_values as fixed
 from assayline.functions import classify, rules
 from assayline.operators import checks
+from assayline.operators.lookup import key_presence
 from assayline.specs import ForeignKey, Rule, TableSpec
 
 
@@ -97,11 +98,8 @@ def orphan_counts(df: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame
 
     Rows are counted per key first, so a hot key crosses the shuffle as one row per map task.
     """
-    per_key = df.groupBy(fk.column).agg(F.count(F.lit(1)).alias("rows"))
-    known = parent.select(F.col(fk.parent_key).alias("_known")).distinct()
-    matched = per_key.join(known, F.col(fk.column) == F.col("_known"), "left")
-    orphan = F.col(fk.column).isNotNull() & F.col("_known").isNull()
-    return matched.agg(
+    orphan = F.col(fk.column).isNotNull() & ~F.col("known")
+    return key_presence(df, fk.column, parent, fk.parent_key).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.when(orphan, F.col("rows"))), F.lit(0)).alias("orphan_rows"),
         F.count_if(orphan).alias("orphan_keys"),
