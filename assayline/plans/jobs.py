@@ -16,14 +16,15 @@ from assayline import fixed_values as fixed
 from assayline.operators import metrics
 from assayline.operators.lookup import shared_folder
 from assayline.plans import gold
-from assayline.plans.silver import flagged_tables
+from assayline.plans.silver import SPECS, marked_tables, without_markers
 from assayline.sources.files import add_audit_columns, read_csv, resolve_source_path
-from assayline.sources.tables import overwrite_table
+from assayline.sources.tables import append_table, overwrite_table
 from assayline.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
 
 QUALITY_REPORT = "silver_quality_report"
+QUALITY_METRICS = "silver_quality_metrics"
 
 
 @dataclass(frozen=True)
@@ -105,17 +106,18 @@ def run_silver(
     as_of: date | None = None,
     specs: Sequence[TableSpec] = TABLES,
     fmt: str = "parquet",
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Flag and write every table, then the report from the written tables; raise on failure.
 
     Each plan is evaluated once, by its write. The report and the row check are one narrow aggregate
-    per written table.
+    per written table. With a ``run_id`` the metrics per column are appended to their own table.
     """
     day = as_of or date.today()
     bronze = {spec.name: spark.table(spec.bronze) for spec in specs}
-    flagged = flagged_tables(bronze, day, specs)
-    for spec in specs:
-        overwrite_table(flagged[spec.name], spec.silver, fmt)
+    marked = marked_tables(bronze, day, specs)
+    for name, df in without_markers(marked, bronze).items():
+        overwrite_table(df, SPECS[name].silver, fmt)
     silver = {spec.silver: spark.table(spec.silver) for spec in specs}
 
     overwrite_table(metrics.quality_report(silver), QUALITY_REPORT, fmt)
@@ -130,6 +132,10 @@ def run_silver(
             raise ValueError(
                 f"{spec.silver} holds {kept[spec.silver]} rows, {spec.bronze} holds {landed}"
             )
+    if run_id is not None:
+        now = F.current_timestamp()
+        parts = [metrics.extended_report(marked[s.name], s, run_id, now) for s in specs]
+        append_table(metrics.union_all(parts), QUALITY_METRICS, fmt)
     return {**silver, QUALITY_REPORT: report}
 
 

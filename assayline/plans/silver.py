@@ -65,19 +65,35 @@ def marked_tables(
     return marked
 
 
+def without_markers(
+    marked: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Typed columns, other landed columns, the four flags and the verdict."""
+    flagged = {}
+    for name, df in marked.items():
+        declared = SPECS[name].schema.fieldNames()
+        others = [c for c in bronze[name].columns if c not in declared]
+        flagged[name] = df.select(
+            *declared, *others, *fixed.CHECK_COLUMNS.values(), fixed.VERDICT_COLUMN
+        )
+    return flagged
+
+
 def flagged_tables(
     bronze: Mapping[str, DataFrame],
     as_of: date,
     specs: Sequence[TableSpec] = TABLES,
     bound: SizeBound = SizeBound(),
 ) -> dict[str, DataFrame]:
-    """All rows of the landed tables: typed columns, other columns, the four flags, the verdict."""
-    marked = marked_tables(bronze, as_of, specs, bound)
-    flagged = {}
-    for spec in specs:
-        declared = spec.schema.fieldNames()
-        others = [c for c in bronze[spec.name].columns if c not in declared]
-        flagged[spec.name] = marked[spec.name].select(
-            *declared, *others, *fixed.CHECK_COLUMNS.values(), fixed.VERDICT_COLUMN
-        )
-    return flagged
+    """All rows of the landed tables with their flags and verdicts."""
+    return without_markers(marked_tables(bronze, as_of, specs, bound), bronze)
+
+
+def quarantine_views(silver: Mapping[str, DataFrame]) -> list[str]:
+    """A temporary view ``silver_<name>_quarantine`` of the failed rows of each table."""
+    names = []
+    for name, df in silver.items():
+        view = f"silver_{name}_quarantine"
+        checks.failing(df).createOrReplaceTempView(view)
+        names.append(view)
+    return names

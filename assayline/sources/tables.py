@@ -151,6 +151,11 @@ def overwrite_table(
     return int(written.get["rows"])
 
 
+def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+    """Add the rows to the table, created on first use."""
+    df.write.format(fmt).mode("append").saveAsTable(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 

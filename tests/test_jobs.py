@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
 from assayline.operators import checks, metrics
-from assayline.plans import gold, jobs, reconcile
+from assayline.plans import dimensions, gold, jobs, reconcile, silver
 from assayline.samples import synthetic
 from assayline.samples.defects import defect_summary, inject_defects
 from assayline.sources import files, tables
@@ -43,9 +43,9 @@ def layers(spark, landing):
     spark.sql("CREATE DATABASE IF NOT EXISTS layers_test")
     spark.catalog.setCurrentDatabase("layers_test")
     bronze = jobs.run_bronze(spark, landing)
-    silver = jobs.run_silver(spark, DAY)
+    flagged_layer = jobs.run_silver(spark, DAY, run_id="first")
     outcomes = jobs.run_gold(spark, DAY)
-    yield {"bronze": bronze, "silver": silver, "gold": outcomes}
+    yield {"bronze": bronze, "silver": flagged_layer, "gold": outcomes}
     for name in tables.DEFINITIONS:
         tables.drop_table(spark, name)
     spark.catalog.setCurrentDatabase("default")
@@ -123,8 +123,8 @@ def test_pass_rate_over_all_tables(layers):
 
 
 def test_silver_types_and_report(spark, layers):
-    silver = spark.table("silver_orders")
-    assert [f.dataType for f in silver.schema][:9] == [f.dataType for f in ORDERS.schema]
+    orders = spark.table("silver_orders")
+    assert [f.dataType for f in orders.schema][:9] == [f.dataType for f in ORDERS.schema]
     report = spark.table(jobs.QUALITY_REPORT)
     assert report.count() == 15
     comments = {f.name: f.metadata.get("comment") for f in report.schema}
@@ -151,6 +151,40 @@ def test_gold_holds_passing_rows_only(spark, layers):
     assert spark.table("gold_sales_by_product").count() <= 500
 
 
+def test_metrics_per_column_are_appended_by_run(spark, layers):
+    jobs.run_silver(spark, DAY, run_id="second")
+    rows = spark.table(jobs.QUALITY_METRICS)
+    assert dict(rows.groupBy("run_id").count().collect()) == {"first": 17, "second": 17}
+    orphans = rows.filter("run_id = 'first' AND check_name = 'referential_integrity'").collect()
+    assert {r.column_name: r.failed for r in orphans}["product_id"] == 30
+
+
+def test_quarantine_views(spark, layers):
+    names = silver.quarantine_views({"orders": spark.table("silver_orders")})
+    assert names == ["silver_orders_quarantine"]
+    failed = spark.table("silver_orders").filter(F.col(VERDICT) != "PASS").count()
+    assert spark.sql("SELECT count(*) FROM silver_orders_quarantine").first()[0] == failed
+
+
+def test_each_dimension_alone(extracts):
+    flagged_frames, measured = dimensions.completeness(extracts)
+    assert set(flagged_frames) == {"customers", "orders"}
+    assert {r.field_name: r.null_count for r in measured.collect()} == {
+        "email": 50, "customer_id": 100, "product_id": 200,
+    }
+    flagged_frames, measured = dimensions.uniqueness(extracts)
+    assert {r.field_name: r.duplicate_rows for r in measured.collect()} == {
+        "customer_id": 20, "order_id": 20, "product_id": 0,
+    }
+    flagged_frames, measured = dimensions.type_validation(extracts, DAY)
+    assert {r.invalid_rows for r in measured.collect()} == {0}
+    flagged_frames, measured = dimensions.referential_integrity(extracts)
+    by_check = {r.check_name: r.orphan_rows for r in measured.collect()}
+    for fk in ORDERS.foreign_keys:
+        text = fixed.ORPHAN_FLAG.format(field=fk.column)
+        assert flagged(flagged_frames["orders"], checks.REFERENTIAL, text) == by_check[f"{fk.column} referential"]
+
+
 def test_runs_are_repeatable(spark, layers):
     before = spark.table("gold_sales_by_product").collect()
     outcomes = jobs.run_gold(spark, DAY)
@@ -165,7 +199,7 @@ def test_inferred_and_text_landing_give_the_same_verdicts(spark, landing):
             spec.name: files.read_csv(spark, f"{landing}/{spec.source_file}", infer=infer)
             for spec in TABLES
         }
-        flagged_frames = jobs.flagged_tables(frames, DAY)
+        flagged_frames = silver.flagged_tables(frames, DAY)
         verdicts.append({n: df.drop("_x") for n, df in flagged_frames.items()})
     for spec in TABLES:
         left, right = (v[spec.name] for v in verdicts)
@@ -238,10 +272,10 @@ def test_header_order_extra_and_missing_columns(spark, tmp_path):
     landed = files.read_csv(spark, path)
     assert landed.columns == ["price", "extra", "product_id", "product_name"]
     assert {f.dataType.simpleString() for f in landed.schema} == {"string"}
-    flagged_rows = jobs.flagged_tables({"products": landed}, DAY, [PRODUCTS])["products"]
+    flagged_rows = silver.flagged_tables({"products": landed}, DAY, [PRODUCTS])["products"]
     assert flagged_rows.columns[: len(PRODUCTS.schema)] == PRODUCTS.schema.fieldNames()
     assert "extra" in flagged_rows.columns
-    emails = jobs.flagged_tables({"customers": landed.selectExpr("product_id AS customer_id")}, DAY, [CUSTOMERS])
+    emails = silver.flagged_tables({"customers": landed.selectExpr("product_id AS customer_id")}, DAY, [CUSTOMERS])
     assert {r[VERDICT] for r in emails["customers"].collect()} == {"FAIL: FAIL: NULL email"}
 
 
@@ -249,10 +283,11 @@ def test_header_only_files_run_through(spark, tmp_path):
     for spec in TABLES:
         write(tmp_path / spec.source_file, ",".join(spec.schema.fieldNames()) + "\n")
     frames = {s.name: files.read_csv(spark, f"{tmp_path}/{s.source_file}") for s in TABLES}
-    silver = jobs.flagged_tables(frames, DAY)
-    assert all(df.count() == 0 for df in silver.values())
-    assert {r.pass_rate for r in metrics.quality_report(silver).collect()} == {1.0}
-    assert gold.sales_by_product(silver["orders"], silver["products"]).count() == 0
+    flagged_frames = silver.flagged_tables(frames, DAY)
+    assert all(df.count() == 0 for df in flagged_frames.values())
+    assert {r.pass_rate for r in metrics.quality_report(flagged_frames).collect()} == {1.0}
+    sales = gold.sales_by_product(flagged_frames["orders"], flagged_frames["products"])
+    assert sales.count() == 0
 
 
 def test_encoding_and_its_probe(spark, tmp_path):
