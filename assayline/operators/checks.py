@@ -139,6 +139,8 @@ def flag_types(df: DataFrame, rule_list: Sequence[Rule], as_of: date) -> DataFra
 def add_absent_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared columns that the frame lacks, as NULL."""
     absent = [f for f in schema if f.name not in df.columns]
+    if not absent:
+        return df
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
 
 

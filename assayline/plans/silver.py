@@ -26,16 +26,22 @@ def _typed(bronze: DataFrame, spec: TableSpec, as_of: date) -> DataFrame:
     )
 
 
-def _key_sets(typed: DataFrame, spec: TableSpec, bronze: Mapping[str, DataFrame]) -> list[KeySet]:
-    parents = {}
-    for fk in spec.foreign_keys:
-        kind = SPECS[fk.parent].schema[fk.parent_key].dataType
-        key = F.col(fk.parent_key).try_cast(kind).alias(fk.parent_key)
-        parent = checks.add_absent_columns(bronze[fk.parent], SPECS[fk.parent].schema)
-        parents[fk.parent] = parent.select(key)
+def _keys(bronze: DataFrame, spec: TableSpec, columns: Sequence[str]) -> DataFrame:
+    """The key columns alone, with their declared types."""
+    complete = checks.add_absent_columns(bronze, spec.schema)
+    return complete.select([F.col(c).try_cast(spec.schema[c].dataType).alias(c) for c in columns])
+
+
+def _key_sets(spec: TableSpec, bronze: Mapping[str, DataFrame]) -> list[KeySet]:
+    columns = [spec.primary_key, *[fk.column for fk in spec.foreign_keys]]
+    own = _keys(bronze[spec.name], spec, columns)
+    parents = {
+        fk.parent: _keys(bronze[fk.parent], SPECS[fk.parent], [fk.parent_key])
+        for fk in spec.foreign_keys
+    }
     return [
-        checks.duplicate_keys(typed, [spec.primary_key]),
-        *checks.orphan_keys(typed, spec.foreign_keys, parents),
+        checks.duplicate_keys(own, [spec.primary_key]),
+        *checks.orphan_keys(own, spec.foreign_keys, parents),
     ]
 
 
@@ -50,14 +56,14 @@ def marked_tables(
     ``bronze`` holds the landed tables by name, parents included. The key sets of all tables are
     settled in one job; after it, each table is a single pass over its rows.
     """
-    typed = {spec.name: _typed(bronze[spec.name], spec, as_of) for spec in specs}
-    key_sets = {spec.name: _key_sets(typed[spec.name], spec, bronze) for spec in specs}
+    key_sets = {spec.name: _key_sets(spec, bronze) for spec in specs}
     settled = iter(settle([ks for spec in specs for ks in key_sets[spec.name]]))
     marked = {}
     for spec in specs:
         own = [next(settled) for _ in key_sets[spec.name]]
+        typed = _typed(bronze[spec.name], spec, as_of)
         flagged = (
-            mark(typed[spec.name], own, bound)
+            mark(typed, own, bound)
             .withColumn(checks.UNIQUENESS, checks.uniqueness_flag([spec.primary_key]))
             .withColumn(checks.REFERENTIAL, checks.referential_flag(spec.foreign_keys))
         )
