@@ -46,8 +46,8 @@ def main(folder: str, names: list[str]) -> int:
         if types != other_types:
             notes.append(f"types {sorted(set(types.items()) ^ set(other_types.items()))}")
         if rows != other_rows:
-            extra = [r for r in rows if r not in set(other_rows)][:2]
-            lacking = [r for r in other_rows if r not in set(rows)][:2]
+            extra = sorted(set(rows) - set(other_rows), key=repr)[:2]
+            lacking = sorted(set(other_rows) - set(rows), key=repr)[:2]
             notes.append(f"rows {len(rows)} / {len(other_rows)}: {extra} / {lacking}")
         bad += bool(notes)
         print(f"{name}: {len(rows)} rows {elapsed:.2f}s {'; '.join(notes) or 'ok'}", flush=True)
