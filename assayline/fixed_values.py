@@ -64,5 +64,5 @@ DESIGN_BUCKETS = (
 LAST_DESIGN_BUCKET = "5000+"
 
 # ---- fixed values: tables --------------------------------------------------------------------
-DATABASE = "ecommerce_medallion"
+DATABASE = "ecommerce"
 SOURCE_FOLDER_VARIABLE = "BRONZE_DATA_PATH"
