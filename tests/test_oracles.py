@@ -18,10 +18,11 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(workload_queries.registered()) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload_queries.registered()))
 def test_query_equals_its_twin(spark, duck, name):
     df = entry.queries()[name](spark, SMALL_TABLES)
     types, rows = spark_result(df)
