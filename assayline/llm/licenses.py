@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from assayline.llm.frames import settled, text_key, texts
 
 SIMILARITY = 0.8
+BROADCAST_ROWS = 100_000  # (template, size) pairs that are sent to every executor
 
 # Short notices by which texts name their licence.
 TEMPLATES = (
@@ -63,6 +64,7 @@ def license_lines(docs: DataFrame, notices: DataFrame, similarity: float = SIMIL
         listed.select("license_id", "height", "notice", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("size"))
     )
     bounds = sized.groupBy("height").agg(F.min("size").alias("least"), F.max("size").alias("most")).collect()
+    small = sized.count() <= BROADCAST_ROWS
     lined = texts(docs).select(
         "doc_id", *text_key(), F.explode(F.array(F.split(F.coalesce("text", F.lit("")), "\n"))).alias("lines")
     )
@@ -84,6 +86,7 @@ def license_lines(docs: DataFrame, notices: DataFrame, similarity: float = SIMIL
             "doc_id", "_a", "_b", "line", F.explode(F.array(_bigrams("words"))).alias("bigrams")
         )
         sizes = sized.filter(F.col("height") == height).drop("height")
+        sizes = F.broadcast(sizes) if small else sizes
         own = pairs.filter(F.size("bigrams").between(least, most)).withColumn("size", F.size("bigrams"))
         shared = F.size(F.array_intersect("bigrams", "notice"))
         compared = own.join(sizes, "size").select(
