@@ -26,6 +26,7 @@ PLAIN_BELOW = "\u0130"  # below: one lower-case character each, and nothing that
 # The splitting rule and the word-end mark of the public vocabulary file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
+ENDINGS = frozenset(".,;:!?")
 CONTRACTIONS = frozenset(("'s", "'t", "'re", "'ve", "'m", "'ll", "'d"))
 
 _WHITE = regex.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -78,6 +79,14 @@ class WordTokenizer:
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def words_of(self, lowered: str) -> list[str]:
+        """The words that the splitting rule finds; the two commonest forms need no expression."""
+        if lowered.isalpha():
+            return [lowered]
+        if lowered[-1] in ENDINGS and lowered[:-1].isalpha():
+            return [lowered[:-1], lowered[-1]]
+        return self.split.findall(lowered)
+
     def to_symbols(self, word: str) -> str:
         if word.isascii() and word.isprintable():
             return word
@@ -178,7 +187,7 @@ class WordTokenizer:
         else:
             lowered = [c.lower() for c in run]
             text = "".join(lowered)
-        words = self.split.findall(text)
+        words = self.words_of(text)
         counts = self._counts_of_word(words[0])
         for word in words[1:]:
             base = counts[-1]
@@ -210,7 +219,7 @@ class RunIds(dict):
     def __missing__(self, run: str) -> bytes:
         owner = self.owner
         if owner.plain(run):
-            ids = b"".join(map(owner.ids_of_word, owner.split.findall(run.lower())))
+            ids = b"".join(map(owner.ids_of_word, owner.words_of(run.lower())))
         else:
             ids = array("I", owner.encode(run)).tobytes()
         if len(run) <= MEMO_CHARS:
