@@ -11,15 +11,17 @@ from __future__ import annotations
 import functools
 import json
 from array import array
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import regex
 from tokenizers import Tokenizer, models
 
 WORDS_KEPT = 400_000
-PAIRS_KEPT = 400_000
+STATES_KEPT = 800_000
+PAIRS_KEPT = 800_000
 MEMO_CHARS = 24
 INNER, FINAL = 1, 2  # a token inside a word, at its end
+TOKEN = ""  # the key of the token that ends at a node
 NOTHING = (None, 0, b"")  # the state of the empty prefix
 PLAIN_BELOW = "\u0130"  # below: one lower-case character each, and nothing that NFC changes
 
@@ -60,21 +62,21 @@ class WordTokenizer:
         self.unended = models.BPE(model["vocab"], merges)
         inner = {t for t in model["vocab"] if not t.endswith(WORD_END)}
         final = {t.removesuffix(WORD_END) for t in model["vocab"] if t.endswith(WORD_END)}
-        self.longest = max(map(len, inner | final)) + 1
-        #: Every ending of a token, with the kinds of token it is itself.
-        self.pieces = {
-            t[k:]: INNER * (t[k:] in inner) + FINAL * (t[k:] in final)
-            for t in inner | final
-            for k in range(len(t))
-        }
+        self.endings: dict = {}  # tokens by their symbols from the last to the first
+        for token in inner | final:
+            node = self.endings
+            for symbol in reversed(token):
+                node = node.setdefault(symbol, {})
+            node[TOKEN] = (token, INNER * (token in inner) + FINAL * (token in final))
         self.special = [t["content"] for t in content["added_tokens"]]
         self.split = regex.compile(SPLIT)
         self.symbols = _byte_symbols()
         self.word_ids: dict[str, bytes] = {}
         self.run_ids = RunIds(self)
         self.run_counts = RunCounts(self)
-        self.pairs: dict[tuple, bool] = {}
-        self.states: dict[str, tuple] = {"": NOTHING}
+        self.apart: tuple[dict, dict] = ({}, {})  # inside a word, at its end
+        self.pairs = 0
+        self.states: dict[str, tuple] = {}
 
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -109,70 +111,67 @@ class WordTokenizer:
 
     def _stays(self, left: str | None, right: str, end: bool) -> bool:
         """Do two adjacent tokens stay apart when their characters are encoded together?"""
-        key = (left, right, end)
-        model = self.ended if end else self.unended
-        found = [t.value for t in model.tokenize((left or "") + right)]
-        known = found == [*([left] if left else []), right + WORD_END if end else right]
-        if len(self.pairs) >= PAIRS_KEPT:
-            self.pairs.clear()
-        self.pairs[key] = known
-        return known
-
-    def _extend(self, symbols: str, left: Callable[[int], tuple]) -> tuple[str | None, int, int]:
-        """The state of a prefix from the states of shorter ones; ``left(j)`` has that of length j.
+        known = self.apart[end].get(left)
+        if known is None:
+            known = self.apart[end][left] = {}
+        if right not in known:
+            model = self.ended if end else self.unended
+            found = [t.value for t in model.tokenize((left or "") + right)]
+            known[right] = found == [*([left] if left else []), right + WORD_END if end else right]
+            self.pairs += 1
+        return known[right]
+
+    def _extend(self, symbols: str, i: int, path: list[tuple]) -> tuple[str | None, int, int]:
+        """The state of the prefix of length i from ``path``, the states of all shorter ones.
 
         A prefix has exactly one last token whose neighbour on the left, the last token of what
         remains, stays apart from it. (last token, tokens) hold while the word goes on; the third
         value counts the tokens if the word ends here, as its last symbol then carries the end mark.
         """
-        token, count, ended = None, 0, 0
-        pairs, pieces = self.pairs, self.pieces
-        for j in range(len(symbols) - 1, -1, -1):
-            piece = symbols[j:]
-            kind = pieces.get(piece)
-            if kind is None:
+        node, found = self.endings, []
+        for j in range(i - 1, -1, -1):
+            node = node.get(symbols[j])
+            if node is None:
                 break
-            if not kind:
-                continue
-            before, tokens, *_ = left(j)
-            if kind & INNER and not count:
-                stays = pairs.get((before, piece, False))
-                if self._stays(before, piece, False) if stays is None else stays:
-                    token, count = piece, tokens + 1
-            if kind & FINAL and not ended:
-                stays = pairs.get((before, piece, True))
-                if self._stays(before, piece, True) if stays is None else stays:
-                    ended = tokens + 1
+            if TOKEN in node:
+                found.append((j, *node[TOKEN]))
+        token, count, ended = None, 0, 0
+        while found:  # the longest first, as it is the last token more often than not
+            j, piece, kind = found.pop()
+            left, before = path[j][:2]
+            if kind & INNER and not count and self._stays(left, piece, False):
+                token, count = piece, before + 1
+            if kind & FINAL and not ended and self._stays(left, piece, True):
+                ended = before + 1
             if count and ended:
                 break
         return token, count, ended
 
-    def _kept_state(self, symbols: str) -> tuple:
-        """(last token, tokens while the word goes on, tokens of each prefix) of a short prefix."""
-        state = self.states.get(symbols)
-        if state is None:
-            earlier = self._kept_state(symbols[:-1])[2]
-            states = self.states
-            token, count, ended = self._extend(
-                symbols, lambda j: states.get(symbols[:j]) or self._kept_state(symbols[:j])
-            )
-            state = states[symbols] = (token, count, earlier + bytes([ended]))
-        return state
-
     def prefix_counts(self, word: str) -> Sequence[int]:
         """Tokens of each code point prefix of one lower-case word, by dynamic programming."""
         symbols = self.to_symbols(word)
-        if len(self.states) >= WORDS_KEPT:
-            self.states = {"": NOTHING}
-        if len(symbols) <= MEMO_CHARS:
-            ended = self._kept_state(symbols)[2]
+        states, size = self.states, len(symbols)
+        state = states.get(symbols)
+        if state is None:
+            path = [NOTHING]
+            for i in range(1, size + 1):
+                short = i <= MEMO_CHARS
+                state = states.get(symbols[:i]) if short else None
+                if state is None:
+                    token, count, own = self._extend(symbols, i, path)
+                    # Short prefixes keep the counts of all their prefixes, for words that share them.
+                    state = (token, count, path[-1][2] + bytes([own])) if short else (token, count, own)
+                    if short:
+                        states[symbols[:i]] = state
+                path.append(state)
+            ended = state[2] if size <= MEMO_CHARS else [*path[MEMO_CHARS][2], *[s[2] for s in path[MEMO_CHARS + 1 :]]]
+            if len(states) >= STATES_KEPT:
+                states.clear()
+            if self.pairs >= PAIRS_KEPT:
+                self.apart, self.pairs = ({}, {}), 0
         else:
-            states = [(None, 0, 0)]
-            for i in range(1, len(symbols) + 1):
-                start = max(0, i - self.longest)
-                states.append(self._extend(symbols[start:i], lambda j: states[start + j]))
-            ended = [state[2] for state in states[1:]]
-        if len(symbols) == len(word):
+            ended = state[2]
+        if size == len(word):
             return ended
         ends, at = [], -1
         for character in word:
@@ -191,7 +190,10 @@ class WordTokenizer:
         counts = self._counts_of_word(words[0])
         for word in words[1:]:
             base = counts[-1]
-            counts = [*counts, *[base + c for c in self._counts_of_word(word)]]
+            if len(word) == 1 and type(counts) is bytes and base < 250 and word in ENDINGS:
+                counts += bytes([base + self.prefix_counts(word)[0]])
+            else:
+                counts = [*counts, *[base + c for c in self._counts_of_word(word)]]
         if len(text) == len(run):
             return counts
         ends, at = [], -1
