@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayline.llm.frames import map_arrow, settled, texts
@@ -91,9 +91,9 @@ def _anchors(window: int, anchor: int, batches: Iterator[pa.RecordBatch]) -> Ite
 
 def _windows(window: int, anchor: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows whose anchor is among the shared ones of the text."""
-    names = ["_key", "doc_id", "anchor", "hash", "start"]
+    names = ["doc_id", "_copy", "anchor", "hash", "start"]
     for batch in batches:
-        keys, ids = batch["_key"].to_pylist(), batch["doc_id"].to_pylist()
+        copies, ids = batch["_copy"].to_pylist(), batch["doc_id"].to_pylist()
         for row, text in enumerate(batch["text"].to_pylist()):
             hashes, least = _hashed(text, window, anchor)
             shared = np.array(batch["shared"][row].as_py() or [], dtype=np.int64).view(np.uint64)
@@ -102,8 +102,8 @@ def _windows(window: int, anchor: int, batches: Iterator[pa.RecordBatch]) -> Ite
                 some = starts[at : at + _CHUNK]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([keys[row]] * len(some), pa.binary()),
                         pa.array(np.full(len(some), ids[row], np.int64)),
+                        pa.array(np.full(len(some), copies[row], np.int32)),
                         pa.array(least[some].view(np.int64)),
                         pa.array(hashes[some].view(np.int64)),
                         pa.array(some.astype(np.int32)),
@@ -183,23 +183,29 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     found = settled(
         map_arrow(read, functools.partial(_anchors, window, anchor), "_key binary, doc_id long, anchors array<long>")
     )
-    owners = found.groupBy("_key").agg(F.min("doc_id").alias("owner"))
-    anchors = found.select("_key", F.explode("anchors").alias("anchor"))
-    tag = F.xxhash64("_key")
-    shared = anchors.groupBy("anchor").agg(F.min(tag).alias("_one"), F.max(tag).alias("_other"))
-    shared = shared.filter("_one <> _other").select("anchor")
-    wanted = anchors.join(shared, "anchor").groupBy("_key").agg(F.collect_set("anchor").alias("shared"))
-    wanted = wanted.join(owners, "_key").withColumnRenamed("owner", "doc_id")
+    # Each text once, for the smallest doc_id that has it. That id and the place of the text among the
+    # texts of the id name it from here on: small numbers, unlike the key, shuffle in few bytes.
+    single = found.groupBy("_key").agg(F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors"))
+    named = settled(
+        single.withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("_key")))
+    )
+    anchors = named.select("doc_id", "_copy", F.explode("anchors").alias("anchor"))
+    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_texts")).filter("_texts > 1").select("anchor")
+    wanted = anchors.join(shared, "anchor").groupBy("doc_id", "_copy").agg(F.collect_set("anchor").alias("shared"))
+    names = named.select("doc_id", "_copy", "_key")
+    wanted = names.join(wanted, ["doc_id", "_copy"])
     # Texts are dealt out by (doc_id, _key) twice, with the same columns, so that one shuffle serves both.
     windows = map_arrow(
         read.join(wanted, ["doc_id", "_key"]),
         functools.partial(_windows, window, anchor),
-        "_key binary, doc_id long, anchor long, hash long, start int",
+        "doc_id long, _copy int, anchor long, hash long, start int",
     )
     first = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("_last_id"))
     first = first.filter("first_id < _last_id").select("anchor", "hash", "first_id")
     repeated = windows.join(first, ["anchor", "hash"]).filter("first_id < doc_id")
-    starts = repeated.groupBy("doc_id", "_key").agg(F.collect_set("start").alias("starts"))
+    starts = repeated.groupBy("doc_id", "_copy").agg(F.collect_set("start").alias("starts"))
+    starts = names.join(starts, ["doc_id", "_copy"]).select("doc_id", "_key", "starts")
+    owners = names.select("_key", F.col("doc_id").alias("owner"))
     rulings = found.select("doc_id", "_key").distinct().join(owners, "_key").join(starts, ["doc_id", "_key"], "left")
     ruled = read.join(rulings, ["doc_id", "_key"]).select("doc_id", "text", "owner", "starts")
     unnamed = keyed.filter("doc_id is null").selectExpr(
