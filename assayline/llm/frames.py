@@ -8,6 +8,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayline.operators.lookup import shared_folder
 
@@ -16,8 +17,16 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
 def texts(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` alone, so that other columns of any name cannot clash."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """``doc_id`` and ``text`` alone, so that other columns of any name cannot clash.
+
+    Columns of the right type are passed on without an alias, as one more alias in one of two equal
+    plans would keep Spark from sharing their shuffle.
+    """
+    typed = [
+        F.col(name) if docs.schema[name].dataType == kind else F.col(name).cast(kind).alias(name)
+        for name, kind in (("doc_id", T.LongType()), ("text", T.StringType()))
+    ]
+    return docs.select(*typed)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
