@@ -143,7 +143,9 @@ def _candidates(docs: DataFrame, lookups: DataFrame, widths: list[int], small: b
     starts = starts.withColumn("start", F.greatest(F.lit(0), F.least("start", F.col("n") - F.col("length"))))
     if not small:
         starts = starts.groupBy(*ROW).agg(F.collect_set(F.struct("length", "start")).alias("_starts"))
-        starts = worded.join(starts, ROW).select(*ROW, "words", F.inline("_starts"))
+        starts = starts.toDF("_id", "_a2", "_b2", "_starts")
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_a2")) & (F.col("_b") == F.col("_b2"))
+        starts = worded.join(starts, same).select(*ROW, "words", F.inline("_starts"))
     cut = F.array_join(F.slice("words", F.col("start") + 1, F.col("length")), " ")
     return starts.select(*ROW, "length", "start", cut.alias("window")).distinct()
 
