@@ -94,7 +94,7 @@ def probe_keys(fingerprint: Column, radius: int, segments: int) -> Column:
 
 
 def _near(one: np.ndarray, other: np.ndarray, radius: int) -> np.ndarray:
-    return np.bitwise_count(one ^ other) <= radius
+    return np.bitwise_count((one ^ other).view(np.uint64)) <= radius  # of signed numbers it counts the magnitude
 
 
 def _spanning(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
