@@ -16,8 +16,8 @@ from collections.abc import Sequence
 import regex
 from tokenizers import Tokenizer, models
 
-WORDS_KEPT = 400_000
-STATES_KEPT = 800_000
+WORDS_KEPT = 100_000
+STATES_KEPT = 700_000
 PAIRS_KEPT = 800_000
 MEMO_CHARS = 24
 INNER, FINAL = 1, 2  # a token inside a word, at its end
@@ -56,18 +56,9 @@ class WordTokenizer:
         model, split = content["model"], content["pre_tokenizer"]["pretokenizers"][0]
         if model["end_of_word_suffix"] != WORD_END or split["pattern"]["Regex"] != SPLIT:
             raise ValueError(f"{path} is not a word-end BPE tokenizer with the expected splitting rule")
+        self.path = path
         self.library = Tokenizer.from_file(path)
         self.ended = self.library.model
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.unended = models.BPE(model["vocab"], merges)
-        inner = {t for t in model["vocab"] if not t.endswith(WORD_END)}
-        final = {t.removesuffix(WORD_END) for t in model["vocab"] if t.endswith(WORD_END)}
-        self.endings: dict = {}  # tokens by their symbols from the last to the first
-        for token in inner | final:
-            node = self.endings
-            for symbol in reversed(token):
-                node = node.setdefault(symbol, {})
-            node[TOKEN] = (token, INNER * (token in inner) + FINAL * (token in final))
         self.special = [t["content"] for t in content["added_tokens"]]
         self.split = regex.compile(SPLIT)
         self.symbols = _byte_symbols()
@@ -78,6 +69,28 @@ class WordTokenizer:
         self.pairs = 0
         self.states: dict[str, tuple] = {}
 
+    @functools.cached_property
+    def unended(self) -> models.BPE:
+        """The model without the word-end mark, which only counting prefixes needs."""
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        return models.BPE(model["vocab"], merges)
+
+    @functools.cached_property
+    def endings(self) -> dict:
+        """Tokens by their symbols from the last to the first."""
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        inner = {t for t in vocabulary if not t.endswith(WORD_END)}
+        final = {t.removesuffix(WORD_END) for t in vocabulary if t.endswith(WORD_END)}
+        root: dict = {}
+        for token in inner | final:
+            node = root
+            for symbol in reversed(token):
+                node = node.setdefault(symbol, {})
+            node[TOKEN] = (token, INNER * (token in inner) + FINAL * (token in final))
+        return root
+
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
