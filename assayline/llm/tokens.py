@@ -16,7 +16,7 @@ from collections.abc import Sequence
 import regex
 from tokenizers import Tokenizer, models
 
-WORDS_KEPT = 100_000
+WORDS_KEPT = 250_000
 STATES_KEPT = 700_000
 PAIRS_KEPT = 800_000
 MEMO_CHARS = 24
