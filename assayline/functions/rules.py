@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayline.fixed_values import EMAIL_PATTERN
 
@@ -18,6 +19,20 @@ INT_MAX = 2**31 - 1
 PLAIN_NUMBER = r"^\s*[+-]?\d*\.?\d*\s*$"
 
 
+def parsed(value: Column, landed: T.DataType, declared: T.DataType) -> Column:
+    """The value in its declared type, NULL if that type cannot keep it unchanged.
+
+    Text goes through a wide decimal, so ``3.0`` is the integer 3, while ``NaN``, infinities, typed
+    suffixes, numbers out of range and extra digits do not fit.
+    """
+    exact = isinstance(declared, (T.IntegralType, T.DecimalType))
+    if not (exact and isinstance(landed, T.StringType)):
+        return value.try_cast(declared)
+    wide = F.trim(value).try_cast("decimal(38,10)")
+    narrow = wide.try_cast(declared)
+    return F.when(narrow.cast("decimal(38,10)") == wide, narrow)
+
+
 def as_number(field: str) -> Column:
     return F.col(field).try_cast("double")
 

@@ -90,13 +90,17 @@ def flag_keep_first(
 
     Only rows of duplicated keys are ranked. A key may own any share of the table, so it is ranked in
     two rounds: within (key, input partition), then among the winners of the first round alone, at
-    most one per input partition. Exact copies of a row are told apart by rank, not by value.
+    most one per input partition. The partition is read before any shuffle by key, and rows are dealt
+    out by it explicitly: a merge join leaves them hashed by key, which Spark would accept for the
+    first round, and one task would rank the whole key. Exact copies of a row are told apart by rank,
+    not by value.
     """
     failed = F.lit(fixed.DUPLICATE_FLAG.format(field=",".join(columns)))
-    marked = mark_members(df, [duplicate_keys(df, columns)], bound)
+    dealt = df.withColumn("_salt", F.spark_partition_id())
+    marked = mark_members(dealt, [duplicate_keys(df, columns)], bound)
     single = marked.filter(~F.col(DUPLICATE_MARKER)).withColumn(UNIQUENESS, F.lit(fixed.PASS))
 
-    salted = marked.filter(DUPLICATE_MARKER).withColumn("_salt", F.spark_partition_id())
+    salted = marked.filter(DUPLICATE_MARKER).repartition(*columns, "_salt")
     ranking = [F.col(c).asc_nulls_first() for c in order_by]
     local = salted.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*columns, "_salt").orderBy(*ranking))
@@ -136,6 +140,28 @@ def flag_types(df: DataFrame, rule_list: Sequence[Rule], as_of: date) -> DataFra
     return df.withColumn(TYPE_VALIDATION, type_flag(rule_list, as_of))
 
 
+def flag_unfitting(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fail the type check of rows that hold a value which its declared type cannot keep unchanged.
+
+    Runs on the values as landed, after the rules, whose first failure stands.
+    """
+    lost = [
+        (
+            F.col(f.name).isNotNull()
+            & rules.parsed(F.col(f.name), df.schema[f.name].dataType, f.dataType).isNull(),
+            fixed.INVALID_FLAG.format(field=f.name, reason=f"not {f.dataType.simpleString()}"),
+        )
+        for f in schema
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+    ]
+    if not lost:
+        return df
+    own = F.col(TYPE_VALIDATION)
+    return df.withColumn(
+        TYPE_VALIDATION, F.when(own == fixed.PASS, first_match(lost, fixed.PASS)).otherwise(own)
+    )
+
+
 def add_absent_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared columns that the frame lacks, as NULL."""
     absent = [f for f in schema if f.name not in df.columns]
@@ -147,8 +173,8 @@ def add_absent_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
 def standardize(df: DataFrame, schema: T.StructType, trim_text: bool = True) -> DataFrame:
     """Columns of the schema with their declared types, others unchanged and after them.
 
-    Columns are matched by name; an absent one becomes NULL. Values that do not parse become NULL,
-    so type rules belong before this step.
+    Columns are matched by name; an absent one becomes NULL. Values that do not fit become NULL, so
+    type rules and :func:`flag_unfitting` belong before this step.
     """
     complete = add_absent_columns(df, schema)
 
@@ -158,7 +184,7 @@ def standardize(df: DataFrame, schema: T.StructType, trim_text: bool = True) ->
         if isinstance(actual, T.StringType) and trim_text:
             column = F.trim(column)
         if actual != field.dataType:
-            column = column.try_cast(field.dataType)
+            column = rules.parsed(column, actual, field.dataType)
         return column.alias(field.name)
 
     declared = set(schema.fieldNames())

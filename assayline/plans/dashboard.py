@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from assayline import fixed_values as fixed
 from assayline.functions import classify
 from assayline.operators.checks import passing
+from assayline.operators.checks import UNIQUENESS
 from assayline.plans.gold import money, order_count, share_of_all
 
 
@@ -124,7 +125,7 @@ def segmentation_breakdown(
 
 
 def monthly_trend(
-    orders: DataFrame, filters: DashboardFilters = NO_FILTERS, unique_orders: bool = True
+    orders: DataFrame, filters: DashboardFilters = NO_FILTERS, unique_orders: bool | None = None
 ) -> DataFrame:
     """Revenue and distinct orders per month of the passing orders; parents play no part."""
     shown = filters.apply(
@@ -137,7 +138,7 @@ def monthly_trend(
         shown.groupBy(F.date_trunc("month", "order_date").cast("date").alias("month"))
         .agg(
             F.sum("total_amount").cast("double").alias("monthly_revenue"),
-            order_count(unique_orders).alias("monthly_orders"),
+            order_count(orders, unique_orders).alias("monthly_orders"),
         )
         .orderBy("month")
     )
@@ -145,12 +146,13 @@ def monthly_trend(
 
 def monthly_trend_sql(orders: DataFrame, date_from: date, date_to: date) -> DataFrame:
     """The monthly trend as SQL with named parameters, as a dashboard widget binds them."""
+    counted = "order_id" if UNIQUENESS in orders.columns else "DISTINCT order_id"
     return orders.sparkSession.sql(
-        """
+        f"""
         SELECT CAST(date_trunc('month', order_date) AS DATE) AS month,
                CAST(sum(total_amount) AS DOUBLE) AS monthly_revenue,
-               count(order_id) AS monthly_orders
-        FROM {orders}
+               count({counted}) AS monthly_orders
+        FROM {{orders}}
         WHERE quality_check_result = 'PASS' AND order_date BETWEEN :date_from AND :date_to
         GROUP BY 1
         ORDER BY 1

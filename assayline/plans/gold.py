@@ -3,9 +3,9 @@
 Orders are aggregated per key before they meet their parents: a key that owns a third of the orders
 leaves each map task as one row, and the join sees one row per key instead of one per order.
 
-``unique_orders`` says that passing orders hold each order_id once, which the uniqueness check of
-Silver guarantees. The distinct count is then a plain count, which combines before the shuffle. With
-False the orders are counted as distinct values, at the cost of one shuffled row per order.
+Orders that carry the uniqueness flag hold each order_id once among those that pass, so the distinct
+count is a plain count, which combines before the shuffle. Without the flag orders are counted as
+distinct values, at the cost of one shuffled row per order. ``unique_orders`` states it either way.
 """
 
 from __future__ import annotations
@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
 from assayline.functions import classify
-from assayline.operators.checks import passing
+from assayline.operators.checks import UNIQUENESS, passing
 from assayline.specs import MONEY
 
 
-def order_count(unique_orders: bool) -> Column:
-    return F.count("order_id") if unique_orders else F.count_distinct("order_id")
+def order_count(orders: DataFrame, unique_orders: bool | None = None) -> Column:
+    """Distinct orders; a plain count where the caller, or the uniqueness flag, says none repeats."""
+    unique = UNIQUENESS in orders.columns if unique_orders is None else unique_orders
+    return F.count("order_id") if unique else F.count_distinct("order_id")
 
 
 def money(column: Column) -> Column:
@@ -39,12 +41,12 @@ def _margin(price: Column, cost: Column) -> Column:
     return F.round(F.try_divide(list_price - cost.cast("double"), list_price) * F.lit(100.0), 2)
 
 
-def _sold_per_product(orders: DataFrame, products: DataFrame, unique_orders: bool) -> DataFrame:
+def _sold_per_product(orders: DataFrame, products: DataFrame, unique_orders: bool | None) -> DataFrame:
     sold = (
         passing(orders)
         .groupBy("product_id")
         .agg(
-            order_count(unique_orders).alias("orders"),
+            order_count(orders, unique_orders).alias("orders"),
             F.count(F.lit(1)).alias("lines"),
             F.sum("quantity").alias("quantity"),
             F.sum("total_amount").alias("revenue"),
@@ -70,7 +72,7 @@ def _sold_per_product(orders: DataFrame, products: DataFrame, unique_orders: boo
 
 
 def sales_by_product(
-    orders: DataFrame, products: DataFrame, unique_orders: bool = True
+    orders: DataFrame, products: DataFrame, unique_orders: bool | None = None
 ) -> DataFrame:
     """One row per product sold: orders, units, revenue, mean order amount, catalogue margin."""
     return _sold_per_product(orders, products, unique_orders).select(
@@ -87,7 +89,7 @@ def sales_by_product(
 
 def sales_by_product_lines(orders: DataFrame, products: DataFrame) -> DataFrame:
     """The documented variant: order lines and mean unit price."""
-    return _sold_per_product(orders, products, True).select(
+    return _sold_per_product(orders, products, None).select(
         "product_id",
         "product_name",
         "category",
@@ -98,12 +100,12 @@ def sales_by_product_lines(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def _bought_per_customer(orders: DataFrame, unique_orders: bool) -> DataFrame:
+def _bought_per_customer(orders: DataFrame, unique_orders: bool | None) -> DataFrame:
     return (
         passing(orders)
         .groupBy("customer_id")
         .agg(
-            order_count(unique_orders).alias("orders"),
+            order_count(orders, unique_orders).alias("orders"),
             F.sum("total_amount").alias("revenue"),
             F.count("total_amount").alias("amounts"),
             F.min("order_date").alias("first_order"),
@@ -116,7 +118,7 @@ CUSTOMER_COLUMNS = ("customer_id", "customer_name", "customer_segment", "country
 
 
 def revenue_by_customer(
-    orders: DataFrame, customers: DataFrame, as_of: date, unique_orders: bool = True
+    orders: DataFrame, customers: DataFrame, as_of: date, unique_orders: bool | None = None
 ) -> DataFrame:
     """One row per customer with a passing order: orders, revenue, recency."""
     buyers = passing(customers).select(*CUSTOMER_COLUMNS)
@@ -199,7 +201,7 @@ def value_tiers(
     orders: DataFrame,
     customers: DataFrame,
     tiers: Sequence[tuple[int, str]] = fixed.VALUE_TIERS,
-    unique_orders: bool = True,
+    unique_orders: bool | None = None,
 ) -> DataFrame:
     """Every passing customer with its revenue tier, also those who never bought."""
     bought = _bought_per_customer(orders, unique_orders).select("customer_id", "orders", "revenue")

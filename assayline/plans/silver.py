@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
+from assayline.functions import rules
 from assayline.operators import checks
 from assayline.operators.lookup import KeySet, SizeBound, mark, settle
 from assayline.specs import TABLES, TableSpec
@@ -21,6 +22,7 @@ def _typed(bronze: DataFrame, spec: TableSpec, as_of: date) -> DataFrame:
     return (
         bronze.transform(checks.add_absent_columns, spec.schema)
         .transform(checks.flag_types, spec.rules, as_of)
+        .transform(checks.flag_unfitting, spec.schema)
         .transform(checks.standardize, spec.schema, False)
         .transform(checks.flag_completeness, spec.completeness)
     )
@@ -29,7 +31,12 @@ def _typed(bronze: DataFrame, spec: TableSpec, as_of: date) -> DataFrame:
 def _keys(bronze: DataFrame, spec: TableSpec, columns: Sequence[str]) -> DataFrame:
     """The key columns alone, with their declared types."""
     complete = checks.add_absent_columns(bronze, spec.schema)
-    return complete.select([F.col(c).try_cast(spec.schema[c].dataType).alias(c) for c in columns])
+    return complete.select(
+        [
+            rules.parsed(F.col(c), complete.schema[c].dataType, spec.schema[c].dataType).alias(c)
+            for c in columns
+        ]
+    )
 
 
 def _key_sets(spec: TableSpec, bronze: Mapping[str, DataFrame]) -> list[KeySet]:

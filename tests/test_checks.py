@@ -11,6 +11,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayline import fixed_values as fixed
 from assayline.operators import checks
@@ -322,3 +323,34 @@ def test_hot_orphan_key_on_the_merge_path_is_split(spark):
         for name in saved:
             spark.conf.unset(name)
     assert counted == {"FAIL: ORPHAN customer_id": 200_000, "PASS": 100_000}
+
+
+def ranked_partitions(df):
+    """Shuffle keys of the exchanges that feed the windows of a plan."""
+    return [line for line in plan_text(df).split("\n") if "Exchange hashpartitioning" in line]
+
+
+@ANY_PATH
+def test_keep_first_deals_a_hot_key_out_before_ranking(spark, bound):
+    df = spark.range(0, 3000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id % 700) AS k", "id AS t")
+    flagged = checks.flag_keep_first(df, ["k"], ["t"], bound)
+    keys = ranked_partitions(flagged)
+    assert any("_salt" in line for line in keys) and any("_group" in line for line in keys)
+    kept = flagged.filter(F.col(checks.UNIQUENESS) == "PASS")
+    assert kept.count() == df.select("k").distinct().count()
+
+
+def test_values_that_do_not_fit_fail_by_name(spark):
+    landed = ["3.0", "3", "NaN", "Infinity", "1e20", "10d", "12.345", "abc", "N/A", "0.004", "-7", None]
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("m", T.DecimalType(18, 2))])
+    df = spark.createDataFrame([(v, v) for v in landed], "n string, m string")
+    flagged = df.select("n", "m", F.monotonically_increasing_id().alias("i"), F.lit("PASS").alias(checks.TYPE_VALIDATION))
+    flagged = checks.flag_unfitting(flagged, schema)
+    rows = checks.standardize(flagged.withColumn("text", F.col("n")), schema).collect()
+    numbers = {r.text: (r.n, None if r.m is None else str(r.m), r[checks.TYPE_VALIDATION] == "PASS") for r in rows}
+    assert numbers["3.0"] == (3, "3.00", True) and numbers["3"] == (3, "3.00", True)
+    assert numbers["-7"] == (-7, "-7.00", True) and numbers[None] == (None, None, True)
+    for lost in ("NaN", "Infinity", "10d", "12.345", "abc", "N/A", "0.004"):
+        assert not numbers[lost][2], lost
+        assert numbers[lost][1] is None or lost == "1e20"
+    assert numbers["1e20"][0] is None and not numbers["1e20"][2]

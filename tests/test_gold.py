@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from assayline.operators.checks import UNIQUENESS
 from assayline.plans import dashboard, gold, reconcile
 from assayline.plans.dashboard import DashboardFilters
 from tests.conftest import AS_OF, plan_text
@@ -96,17 +97,18 @@ def test_revenue_by_customer(tables, unique_orders):
 
 
 def test_distinct_orders_where_ids_repeat(spark, tables):
-    """Tables that skipped the uniqueness check are counted by distinct id on request."""
+    """Tables that skipped the uniqueness check are counted by distinct id."""
     twice = tables["orders"].unionByName(tables["orders"])
     once = gold.sales_by_product(tables["orders"], tables["products"])
-    counted = gold.sales_by_product(twice, tables["products"], unique_orders=False)
+    counted = gold.sales_by_product(twice, tables["products"])
     assert {r.product_id: r.total_orders for r in once.collect()} == {
         r.product_id: r.total_orders for r in counted.collect()
     }
 
 
 def test_orders_are_combined_before_they_are_shuffled(tables):
-    plan = plan_text(gold.sales_by_product(tables["orders"], tables["products"]))
+    checked = tables["orders"].withColumn(UNIQUENESS, F.lit("PASS"))
+    plan = plan_text(gold.sales_by_product(checked, tables["products"]))
     below = plan.split("Exchange hashpartitioning(product_id")[1]
     assert "partial_sum" in below and "order_id" not in plan.split("partial_sum")[0].split("Exchange")[-1]
 

@@ -483,6 +483,12 @@ FROM lineitem""",
        CASE WHEN row_number() OVER (PARTITION BY order_id
                  ORDER BY order_date NULLS FIRST, customer_id NULLS FIRST, total_amount NULLS FIRST) = 1
             THEN 'PASS' ELSE 'FAIL: DUPLICATE order_id' END AS quality_uniqueness FROM fx_orders""",
+    "dq_uniqueness_keep_first_lineitem": """SELECT l_orderkey, l_suppkey, l_linenumber,
+       CASE WHEN row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber) = 1
+            THEN 'PASS' ELSE 'FAIL: DUPLICATE l_orderkey,l_suppkey' END AS quality_uniqueness
+FROM lineitem""",
+    "gold_sales_distinct_orders": "SELECT product_id, total_orders FROM sales",
+    "monthly_orders_distinct": f"SELECT month, monthly_orders FROM ({_trend()})",
     "dq_metric_uniqueness": "\nUNION ALL\n".join(_unique_metric(t) for t in _REQUIRED),
     "dq_type_customers": f"""SELECT customer_id, email, signup_date,
        {_TYPE_CUSTOMERS} AS quality_type_validation FROM fx_customers""",

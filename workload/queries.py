@@ -216,6 +216,31 @@ def dq_uniqueness_keep_first(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def dq_uniqueness_keep_first_lineitem(spark: SparkSession, folder: str) -> DataFrame:
+    """The first line of each (order, part), by line number: a composite key with natural duplicates."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey", "l_suppkey", "l_linenumber")
+    return checks.flag_keep_first(lines, ["l_orderkey", "l_suppkey"], ["l_linenumber"])
+
+
+def _repeated_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Passing orders, each twice, without the flag that says that none repeats."""
+    orders = _orders(spark, folder).drop(checks.UNIQUENESS)
+    return orders.unionByName(orders)
+
+
+@query
+def gold_sales_distinct_orders(spark: SparkSession, folder: str) -> DataFrame:
+    products = _silver(spark, folder, "products")["products"]
+    sales = gold.sales_by_product(_repeated_orders(spark, folder), products)
+    return sales.select("product_id", "total_orders")
+
+
+@query
+def monthly_orders_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    return dashboard.monthly_trend(_repeated_orders(spark, folder)).select("month", "monthly_orders")
+
+
 @query
 def dq_metric_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
     bronze = _bronze(spark, folder)
