@@ -13,13 +13,13 @@ in one job (a reliable checkpoint) and measured. What happens next depends on th
 
 from __future__ import annotations
 
-import tempfile
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
@@ -46,17 +46,19 @@ class SizeBound:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for reliable checkpoints and scratch tables, as named by the cluster.
 
-    Only a local session without one gets a temporary folder.
+    Without ``spark.checkpoint.dir`` it lies in the session's warehouse, which only a local session
+    may keep on its own disk.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="assayline-")
-    spark.sparkContext.setCheckpointDir(folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        shared = "://" in warehouse and not warehouse.startswith("file:")
+        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
+        folder = f"{warehouse.rstrip('/')}/_scratch"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -81,6 +83,48 @@ def key_presence(child: DataFrame, column: str, parent: DataFrame, parent_key: s
     )
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """A key column, and the table that should know its keys, if any."""
+
+    column: str
+    parent: DataFrame | None = None
+    parent_key: str | None = None
+
+
+def key_counts(child: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """Rows of each key of several columns, and whether its parent knows it, from one scan of the child.
+
+    ``_set`` is the position of the column, ``_filled`` tells whether the key is not NULL. Each
+    column keeps its type, as the keys of a set stand in a column of their own.
+    """
+    types = [child.schema[look.column].dataType for look in lookups]
+    names = [f"_k{i}" for i in range(len(lookups))]
+
+    def entry(position: int, key: Column, rows: int, known: bool) -> Column:
+        keys = [key if i == position else F.lit(None).cast(t) for i, t in enumerate(types)]
+        return F.struct(
+            F.lit(position).alias("_set"),
+            *[k.alias(name) for k, name in zip(keys, names)],
+            F.lit(rows).alias("_rows"),
+            F.lit(known).alias("_known"),
+        )
+
+    entries = [entry(i, F.col(look.column), 1, False) for i, look in enumerate(lookups)]
+    parts = [child.select(F.inline(F.array(*entries)))]
+    for i, look in enumerate(lookups):
+        if look.parent is not None:
+            key = F.col(look.parent_key).try_cast(types[i])
+            known = look.parent.filter(key.isNotNull()).select(entry(i, key, 0, True).alias("_entry"))
+            parts.append(known.select("_entry.*"))
+    return (
+        reduce(lambda left, right: left.unionByName(right), parts)
+        .groupBy("_set", *names)
+        .agg(F.sum("_rows").alias("rows"), F.bool_or("_known").alias("known"))
+        .withColumn("_filled", reduce(or_, [F.col(n).isNotNull() for n in names]))
+    )
+
+
 def orphaned_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Non-NULL foreign keys of the child that no parent row holds."""
     presence = key_presence(child, column, parent, parent_key)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from assayline import fixed_values as fixed
 from assayline.functions import classify, rules
 from assayline.operators import checks
-from assayline.operators.lookup import key_presence
+from assayline.operators.lookup import Lookup, key_counts, key_presence
 from assayline.specs import ForeignKey, Rule, TableSpec
 
 
@@ -109,20 +109,41 @@ def orphan_counts(df: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame
 def referential_metrics(
     df: DataFrame, foreign_keys: Sequence[ForeignKey], parents: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """All rows, orphan rows and pass percentage of each foreign key."""
-    return union_all(
+    """All rows, orphan rows and pass percentage of each foreign key, from one scan of the child."""
+    lookups = [Lookup(fk.column, parents[fk.parent], fk.parent_key) for fk in foreign_keys]
+    counted = _key_totals(df, lookups)
+    return rows_of(
+        counted,
         [
-            orphan_counts(df, fk, parents[fk.parent]).select(
-                F.lit(f"{fk.column} referential").alias("check_name"),
-                "total_rows",
-                "orphan_rows",
-                classify.pass_percent(F.col("orphan_rows"), F.col("total_rows")).alias("pass_rate"),
-            )
-            for fk in foreign_keys
-        ]
+            {
+                "check_name": F.lit(f"{fk.column} referential"),
+                "total_rows": F.col(f"total_{i}"),
+                "orphan_rows": F.col(f"orphan_{i}"),
+                "pass_rate": classify.pass_percent(F.col(f"orphan_{i}"), F.col(f"total_{i}")),
+            }
+            for i, fk in enumerate(foreign_keys)
+        ],
     )
 
 
+def _key_totals(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """One row: total, duplicate and orphan rows of each looked-up column, by its position."""
+    rows, keys = F.col("rows"), key_counts(df, lookups)
+
+    def summed(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0)).alias(name)
+
+    measures = []
+    for i in range(len(lookups)):
+        own = F.col("_set") == i
+        measures += [
+            summed(own, f"total_{i}"),
+            summed(own & (rows > 1), f"duplicate_{i}"),
+            summed(own & F.col("_filled") & ~F.col("known"), f"orphan_{i}"),
+        ]
+    return keys.agg(*measures)
+
+
 def _report_row(passed: str, labels: Mapping[str, Column]) -> dict[str, Column]:
     return {
         **labels,
@@ -197,12 +218,17 @@ def extended_report(
 
 
 def with_alerts(report: DataFrame) -> DataFrame:
-    """Alert level of each report row and whether it misses the limit of its check."""
+    """Alert level of each report row and whether it misses the limit of its check.
+
+    Both judge the exact share of passed rows, as the rounded rate may reach a limit that the rows miss.
+    """
+    exact = F.try_divide(F.col("passed").cast("double"), F.col("total_rows").cast("double"))
+    rate = F.coalesce(exact, F.lit(1.0))
     limit = classify.check_limit(F.col("check_type"))
     return report.withColumns(
         {
-            "alert_level": classify.alert_level(F.col("pass_rate")),
-            "below_check_limit": F.coalesce(F.col("pass_rate") < limit, F.lit(False)),
+            "alert_level": classify.alert_level(rate),
+            "below_check_limit": F.coalesce(rate < limit, F.lit(False)),
         }
     )
 
@@ -299,28 +325,16 @@ def silver_validation(
 def defect_inventory(
     bronze: Mapping[str, DataFrame], specs: Sequence[TableSpec]
 ) -> DataFrame:
-    """Defects of the raw inputs before any check: totals, NULLs, duplicates and orphans."""
-    parts = []
+    """Defects of the raw inputs before any check: totals, NULLs, duplicates and orphans.
 
-    def part(spec: TableSpec, defect: str, counted: DataFrame, column: str) -> None:
-        parts.append(
-            counted.select(
-                F.lit(spec.bronze).alias("table_name"),
-                F.lit(defect).alias("defect"),
-                F.col(column).alias("row_count"),
-            )
-        )
+    Each table is scanned twice: for its NULLs, and for all its keys together.
+    """
+    parts = []
 
-    for spec in specs:
-        df = bronze[spec.name]
-        totals = df.agg(
-            F.count(F.lit(1)).alias("total"),
-            *[F.count_if(F.col(f).isNull()).alias(f"null_{f}") for f in spec.completeness],
-        )
-        labels = {"total rows": "total", **{f"NULL {f}": f"null_{f}" for f in spec.completeness}}
+    def part(spec: TableSpec, counted: DataFrame, labels: Mapping[str, str]) -> None:
         parts.append(
             rows_of(
-                totals,
+                counted,
                 [
                     {
                         "table_name": F.lit(spec.bronze),
@@ -331,9 +345,19 @@ def defect_inventory(
                 ],
             )
         )
-        unique = uniqueness_metric(df, spec.bronze, spec.primary_key)
-        part(spec, f"DUPLICATE {spec.primary_key}", unique, "duplicate_rows")
-        for fk in spec.foreign_keys:
-            counted = orphan_counts(df, fk, bronze[fk.parent])
-            part(spec, f"ORPHAN {fk.column}", counted, "orphan_rows")
+
+    for spec in specs:
+        df = bronze[spec.name]
+        totals = df.agg(
+            F.count(F.lit(1)).alias("total"),
+            *[F.count_if(F.col(f).isNull()).alias(f"null_{f}") for f in spec.completeness],
+        )
+        nulls = {f"NULL {f}": f"null_{f}" for f in spec.completeness}
+        part(spec, totals, {"total rows": "total", **nulls})
+        lookups = [
+            Lookup(spec.primary_key),
+            *[Lookup(fk.column, bronze[fk.parent], fk.parent_key) for fk in spec.foreign_keys],
+        ]
+        orphans = {f"ORPHAN {fk.column}": f"orphan_{i}" for i, fk in enumerate(spec.foreign_keys, 1)}
+        part(spec, _key_totals(df, lookups), {f"DUPLICATE {spec.primary_key}": "duplicate_0", **orphans})
     return union_all(parts)

@@ -58,15 +58,16 @@ def mojibake_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def column_types(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Type of each column over the rows of the table, with its row and value counts."""
+    """Type of each column over the rows of the table (NULL without rows), with its row and value counts."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_n_{c}") for c in columns]
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(c).alias(f"_n_{c}") for c in columns],
+        *[F.any_value(F.typeof(c)).alias(f"_type_{c}") for c in columns],
     )
-    types = dict(df.dtypes)
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.lit(types[c]).alias("column_type"),
+            F.col(f"_type_{c}").alias("column_type"),
             F.col("_rows").alias("row_count"),
             F.col(f"_n_{c}").alias("value_count"),
         )

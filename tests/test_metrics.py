@@ -86,14 +86,50 @@ def test_extended_report(spark):
 
 def test_alerts(spark):
     report = spark.createDataFrame(
-        [("uniqueness", 0.998), ("completeness", 0.992), ("overall", 0.5)],
-        "check_type string, pass_rate double",
+        [
+            ("uniqueness", 1000, 998, 0.998),
+            ("completeness", 1000, 992, 0.992),
+            ("completeness", 100, 99, 0.99),
+            ("completeness", 100_000, 98_996, 0.99),  # rounds up to the limit that it misses
+            ("overall", 2, 1, 0.5),
+            ("overall", 0, 0, 1.0),
+        ],
+        "check_type string, total_rows long, passed long, pass_rate double",
     )
-    assert [tuple(r)[2:] for r in metrics.with_alerts(report).collect()] == [
-        ("normal", True), ("warning", False), ("critical", False),
+    assert [tuple(r)[4:] for r in metrics.with_alerts(report).collect()] == [
+        ("normal", True), ("warning", False), ("warning", False), ("critical", True),
+        ("critical", False), ("normal", False),
     ]
 
 
+def _scans(df, path) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count(f"[file:{path}")
+
+
+def test_keys_of_a_table_come_from_one_scan(spark, tmp_path):
+    bronze = {}
+    for name, df in _bronze(spark).items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        bronze[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    assert _scans(metrics.referential_metrics(bronze["orders"], ORDERS.foreign_keys, bronze), f"{tmp_path}/orders") == 1
+    inventory = metrics.defect_inventory(bronze, TABLES)
+    assert _scans(inventory, f"{tmp_path}/orders") == 2
+    found = {(r.table_name, r.defect): r.row_count for r in inventory.collect()}
+    for spec in TABLES:
+        unique = metrics.uniqueness_metric(bronze[spec.name], "t", spec.primary_key).first()
+        assert found[spec.bronze, f"DUPLICATE {spec.primary_key}"] == unique.duplicate_rows
+        for fk in spec.foreign_keys:
+            alone = metrics.orphan_counts(bronze[spec.name], fk, bronze[fk.parent]).first()
+            assert found[spec.bronze, f"ORPHAN {fk.column}"] == alone.orphan_rows
+
+
+def test_keys_of_no_rows(spark):
+    empty = {s.name: spark.createDataFrame([], s.schema) for s in TABLES}
+    rows = metrics.referential_metrics(empty["orders"], ORDERS.foreign_keys, empty).collect()
+    assert [(r.total_rows, r.orphan_rows, r.pass_rate) for r in rows] == [(0, 0, 100.0)] * len(ORDERS.foreign_keys)
+    assert {r.row_count for r in metrics.defect_inventory(empty, TABLES).collect()} == {0}
+
+
 def test_key_null_check_and_missing_columns(spark):
     df = spark.createDataFrame([(1, None), (None, None), (2, "x")], "a int, b string")
     row = metrics.key_null_check(df, "t", ["a", "b"]).first()
