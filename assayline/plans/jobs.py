@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
 from assayline.operators import metrics
-from assayline.operators.lookup import shared_folder
 from assayline.plans import gold
 from assayline.plans.silver import SPECS, marked_tables, without_markers
 from assayline.sources.files import add_audit_columns, read_csv, resolve_source_path
-from assayline.sources.tables import append_table, overwrite_table
+from assayline.sources.tables import (
+    append_table,
+    drop_table,
+    overwrite_table,
+    publish_table,
+    staging_name,
+)
 from assayline.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -110,28 +115,30 @@ def run_silver(
 ) -> dict[str, DataFrame]:
     """Flag and write every table, then the report from the written tables; raise on failure.
 
-    Each plan is evaluated once, by its write. The report and the row check are one narrow aggregate
-    per written table. With a ``run_id`` the metrics per column are appended to their own table.
+    All tables are staged, and their rows counted as they are written; only when each holds as many
+    rows as landed do they replace the former ones. The flags are evaluated once, by that write. With
+    a ``run_id`` the metrics per column are a second pass over Bronze, appended to their own table.
     """
     day = as_of or date.today()
     bronze = {spec.name: spark.table(spec.bronze) for spec in specs}
     marked = marked_tables(bronze, day, specs)
-    for name, df in without_markers(marked, bronze).items():
-        overwrite_table(df, SPECS[name].silver, fmt)
+    try:
+        for name, df in without_markers(marked, bronze).items():
+            spec = SPECS[name]
+            staged = staging_name(spec.silver)
+            kept = overwrite_table(df, staged, fmt, described_as=spec.silver)
+            landed = bronze[name].count()
+            if landed != kept:
+                raise ValueError(f"{spec.silver} would hold {kept} rows, {spec.bronze} holds {landed}")
+        for spec in specs:
+            publish_table(spark, spec.silver)
+    finally:
+        for spec in specs:
+            drop_table(spark, staging_name(spec.silver))
     silver = {spec.silver: spark.table(spec.silver) for spec in specs}
 
     overwrite_table(metrics.quality_report(silver), QUALITY_REPORT, fmt)
     report = spark.table(QUALITY_REPORT)
-    kept = {
-        row["table_name"]: row["total_rows"]
-        for row in report.filter(F.col("check_type") == fixed.OVERALL).collect()  # a row per table
-    }
-    for spec in specs:
-        landed = bronze[spec.name].count()
-        if landed != kept[spec.silver]:
-            raise ValueError(
-                f"{spec.silver} holds {kept[spec.silver]} rows, {spec.bronze} holds {landed}"
-            )
     if run_id is not None:
         now = F.current_timestamp()
         parts = [metrics.extended_report(marked[s.name], s, run_id, now) for s in specs]
@@ -207,18 +214,21 @@ def run_gold(
 ) -> dict[str, JobOutcome]:
     """Build, validate and write the Gold tables in order; continue after a failure.
 
-    The aggregate is settled in a reliable checkpoint, so that validation comes before the write and
-    Silver is read once.
+    The aggregate is staged as a table, validated there, and then replaces the former table, so
+    Silver is read and each result written once.
     """
     day = as_of or date.today()
     if gate:
         promotion_gate(spark.table(QUALITY_REPORT))
-    shared_folder(spark)
 
     def work(job: GoldJob) -> int:
-        built = job.build(spark, day).checkpoint()
-        rows = validate_table(built, job.table_name, job.key_columns, allow_empty)
-        overwrite_table(built, job.table_name, fmt)
-        return rows
+        staged = staging_name(job.table_name)
+        try:
+            overwrite_table(job.build(spark, day), staged, fmt, described_as=job.table_name)
+            rows = validate_table(spark.table(staged), job.table_name, job.key_columns, allow_empty)
+            publish_table(spark, job.table_name)
+            return rows
+        finally:
+            drop_table(spark, staged)
 
     return {job.table_name: _attempt(job.table_name, lambda job=job: work(job)) for job in jobs}

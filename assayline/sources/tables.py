@@ -132,25 +132,43 @@ def _with_comments(df: DataFrame, name: str) -> DataFrame:
 
 
 def overwrite_table(
-    df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    described_as: str | None = None,
 ) -> int:
     """Replace the table, its schema included, and return the rows written.
 
-    The count is observed on the rows as they are written; the plan runs once.
+    The count is observed on the rows as they are written; the plan runs once. ``described_as`` names
+    the table whose comments are taken, if it is another one.
     """
+    described = described_as or name
     written = Observation()
-    observed = _with_comments(df, name).observe(written, F.count(F.lit(1)).alias("rows"))
+    observed = _with_comments(df, described).observe(written, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).mode("overwrite")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
-    if name in DEFINITIONS:
-        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS {_quoted(DEFINITIONS[name].comment)}")
+    if described in DEFINITIONS:
+        comment = _quoted(DEFINITIONS[described].comment)
+        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS {comment}")
     return int(written.get["rows"])
 
 
+def staging_name(name: str) -> str:
+    """Where the next content of a table is written until it has passed its checks."""
+    return f"{name}__staged"
+
+
+def publish_table(spark: SparkSession, name: str) -> None:
+    """Put the staged content in the place of the table; rows are neither read nor written again."""
+    drop_table(spark, name)
+    spark.sql(f"ALTER TABLE {staging_name(name)} RENAME TO {name}")
+
+
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     """Add the rows to the table, created on first use."""
     df.write.format(fmt).mode("append").saveAsTable(name)

@@ -207,14 +207,43 @@ def test_inferred_and_text_landing_give_the_same_verdicts(spark, landing):
         assert left.exceptAll(right).count() == 0 and right.exceptAll(left).count() == 0
 
 
+def _contents(spark, names):
+    return {name: sorted(map(repr, spark.table(name).collect())) for name in names}
+
+
+def test_a_failed_row_check_leaves_the_former_tables(spark, layers, monkeypatch):
+    names = [spec.silver for spec in TABLES]
+    before = _contents(spark, names)
+    whole = jobs.without_markers
+
+    def loses_orders(marked, bronze):
+        return {n: df.filter("order_id > 10") if n == "orders" else df for n, df in whole(marked, bronze).items()}
+
+    monkeypatch.setattr(jobs, "without_markers", loses_orders)
+    with pytest.raises(ValueError, match="silver_orders would hold"):
+        jobs.run_silver(spark, DAY)
+    assert _contents(spark, names) == before
+    assert not any(tables.staging_name(n) in {t.name for t in spark.catalog.listTables()} for n in names)
+
+
+def test_a_failed_gold_check_leaves_the_former_table(spark, layers):
+    name = "gold_sales_by_product"
+    before = _contents(spark, [name])
+    nulls = jobs.GoldJob(name, ("total_revenue",), lambda s, _: s.table(name).withColumn("total_revenue", F.lit(None)))
+    outcome = jobs.run_gold(spark, DAY, [nulls])[name]
+    assert not outcome.success and "NULL key column" in outcome.error_message
+    assert _contents(spark, [name]) == before
+    assert not spark.catalog.tableExists(tables.staging_name(name))
+
+
 def test_promotion_gate(spark, layers):
     report = spark.table(jobs.QUALITY_REPORT)
     jobs.promotion_gate(report)
     with pytest.raises(ValueError, match="silver_orders"):
         jobs.promotion_gate(
             report.withColumn(
-                "pass_rate",
-                F.when(F.col("table_name") == "silver_orders", 0.5).otherwise(F.col("pass_rate")),
+                "passed",
+                F.when(F.col("table_name") == "silver_orders", 0).otherwise(F.col("passed")),
             )
         )
 
