@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
+
 import corpus_pipeline
-from assayline.llm import queries, quality_rules, secrets, tokens
+from assayline.llm import queries, quality_rules, secrets, shingle_groups, tokens
 from tests.conftest import SMALL_TABLES
-from tests.llm.test_operators import best_windows, plain_components, plain_fingerprint
+from tests.llm.test_operators import best_windows, plain_components, plain_fingerprint, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _id int, kept int, root string"
 
@@ -54,3 +58,54 @@ def test_awkward_rows_pass_every_stage(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, frame.limit(0), SMALL_TABLES).count() == 0
         assert stage(spark, frame, SMALL_TABLES).columns
+
+
+def plain_shingles(text):
+    own = words((text or "").lower())
+    return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+
+def first_of_groups(rows, similarity=0.8):
+    """The least doc_id of each group of chained pairs."""
+    sets = [plain_shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, one in enumerate(sets):
+        for j, other in enumerate(sets[:i]):
+            if one == other or len(one & other) >= similarity * len(one | other):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    return sorted(least.values())
+
+
+def edited_texts():
+    """Texts with edited copies whose similarity lies on both sides of 0.8, and chains of them."""
+    chance = random.Random(11)
+    rows = []
+    for length in (6, 30, 60, 120, 400):
+        for _ in range(6):
+            text = [f"w{chance.randrange(3000)}" for _ in range(length)]
+            rows.append(" ".join(text))
+            for share in (0.01, 0.015, 0.02, 0.025, 0.03):
+                text = list(text) if chance.random() < 0.3 else rows[-1].split()
+                for _ in range(max(1, round(share * length))):
+                    text[chance.randrange(length)] = f"z{chance.randrange(3000)}"
+                rows.append(" ".join(text))
+    rows += ["", " \n", "one two", "One  TWO", "one two three"]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("block,bound", [(shingle_groups.BLOCK, shingle_groups.BROADCAST_ROWS), (3, 0)])
+def test_near_dedup_stage_equals_brute_force_similarity(spark, monkeypatch, block, bound):
+    rows = edited_texts()
+    monkeypatch.setattr(shingle_groups.groups, "__defaults__", (5, 0.8, block, bound))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = corpus_pipeline.near_dedup_stage(spark, frame, SMALL_TABLES)
+    assert sorted(r.doc_id for r in found.collect()) == first_of_groups(rows)
