@@ -30,7 +30,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}+")  # leftmost, so it starts where its run starts
 _PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
 _TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/=_.-])M[A-Za-z0-9+/]{39,}+={0,2}")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_.-])M[A-Za-z0-9+/]{39,}+={0,2}")
 _HEX_DER = re.compile(r"(?<![0-9A-Za-z])30[0-9A-Fa-f]{62,}+(?![0-9A-Za-z])")
 _SEQUENCE, _INTEGER = 0x30, 0x02
 
