@@ -3,7 +3,8 @@
 An item and a window of as many words match if their fingerprints lie within the radius and their
 weighted shingle similarity reaches the threshold. Two bags of m shingles reach similarity t only if
 they share 2t/(1+t) of m, so of every item it is enough to look up so many shingles that not all of
-them can be missing. A document window is formed only around such a shingle; no other can match.
+them can be missing. Every window that contains such a shingle is weighed, wherever the shingle
+stands in it, by the places at which it has any shingle of the item; those with too few cannot match.
 """
 
 from __future__ import annotations
@@ -60,23 +61,16 @@ def _similarity(one: str, other: str) -> Column:
     return shared / (F.size(one) + F.size(other) - shared)
 
 
-def _blocks(fingerprint: str, radius: int) -> Column:
-    """The bits in ``radius + 1`` blocks: two fingerprints within the radius agree in one of them."""
-    edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return F.array(
-        *[
-            F.shiftrightunsigned(fingerprint, a).bitwiseAND((1 << (b - a)) - 1).bitwiseOR(F.lit(number << 56))
-            for number, (a, b) in enumerate(zip(edges, edges[1:]))
-        ]
-    )
-
-
 def _items(items: DataFrame, size: int) -> DataFrame:
-    """Distinct texts of the items with their words, shingles and fingerprint."""
+    """The items with words: their number, shingles, the hashes of these, and fingerprint."""
     worded = items.select(F.col("item_id").cast("long").alias("item_id"), words_of("text").alias("item_words"))
     worded = worded.filter(F.size("item_words") > 0)
     worded = worded.withColumn("length", F.size("item_words"))
-    return _printed(worded.withColumn("item_shingles", _shingles("item_words", size)), "item_shingles", "item_print")
+    worded = worded.withColumn("item", F.monotonically_increasing_id())
+    worded = worded.withColumn("width", F.least(F.lit(size), "length"))
+    shingled = worded.withColumn("item_shingles", _shingles("item_words", size)).drop("item_words")
+    hashed = shingled.withColumn("item_hashes", F.transform(F.array_distinct("item_shingles"), lambda s: F.xxhash64(s)))
+    return _printed(hashed, "item_shingles", "item_print")
 
 
 def _missing(similarity: float, count: Column) -> Column:
@@ -84,40 +78,27 @@ def _missing(similarity: float, count: Column) -> Column:
     return F.floor(count * (1 - 2 * similarity / (1 + similarity)) + 1e-9).cast("int")
 
 
-def _lookups(items: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The shingles looked up: hash, words in it, words of the item, its place, starts tried around.
+def _lookups(items: DataFrame, similarity: float) -> DataFrame:
+    """The shingles looked up: hash, words in it, and the item.
 
     The first distinct shingles by hash are taken until those left out weigh too much to be all that
-    is shared. An insertion moves a window by no more words than shingles may be missing.
+    is shared.
     """
     placed = items.select(
-        "length",
-        F.least(F.lit(size), F.size("item_words")).alias("width"),
-        F.size("item_shingles").alias("weight"),
+        "item",
+        "width",
+        _missing(similarity, F.size("item_shingles")).alias("missing"),
         F.expr(
             "sort_array(transform(array_distinct(item_shingles), s -> named_struct("
-            "'hash', xxhash64(s), 'shingle', s, 'times', size(filter(item_shingles, x -> x = s)))))"
+            "'hash', xxhash64(s), 'times', size(filter(item_shingles, x -> x = s)))))"
         ).alias("ranked"),
-        "item_shingles",
-    ).withColumn("missing", _missing(similarity, F.col("weight")))
+    )
     # A shingle is taken while those before it could all be missing.
     taken = F.expr(
         "filter(ranked, (r, i) -> aggregate(slice(ranked, 1, i), 0, (n, q) -> n + q.times) <= missing)"
     )
     chosen = settled(placed.withColumn("chosen", taken).drop("ranked"))
-    return (
-        chosen.select("length", "width", "missing", "item_shingles", F.explode("chosen.shingle").alias("shingle"))
-        .select(
-            "length",
-            "width",
-            "missing",
-            "shingle",
-            F.posexplode("item_shingles").alias("place", "other"),
-        )
-        .filter("shingle = other")
-        .select(F.xxhash64("shingle").alias("hash"), "width", "length", "place", "missing")
-        .distinct()
-    )
+    return chosen.select("item", "width", F.explode("chosen.hash").alias("hash")).distinct()
 
 
 def _document_hash(width: int) -> Column:
@@ -125,8 +106,10 @@ def _document_hash(width: int) -> Column:
     return F.xxhash64(F.concat_ws(" ", *[F.get("words", F.col("i") + k) for k in range(width)]))
 
 
-def _candidates(docs: DataFrame, lookups: DataFrame, widths: list[int], small: bool) -> DataFrame:
-    """Distinct item-sized windows: the row of the document, first word, and the words as a text."""
+def _candidates(
+    docs: DataFrame, items: DataFrame, lookups: DataFrame, widths: list[int], similarity: float, small: bool
+) -> DataFrame:
+    """Distinct windows and the item each may match: the row, first word, and the words as a text."""
     # The words come out of a generator, so that no later filter repeats the work of splitting.
     worded = docs.select("doc_id", *text_key(), F.explode(F.array(words_of("text"))).alias("words"))
     carried = [*ROW, "words"] if small else ROW
@@ -134,20 +117,41 @@ def _candidates(docs: DataFrame, lookups: DataFrame, widths: list[int], small: b
     for width in widths:
         firsts = F.when(F.size("words") >= width, F.sequence(F.lit(0), F.size("words") - width))
         places = worded.select(*ROW, "words", F.explode(firsts).alias("i"))
-        hashed = places.select(*carried, "i", F.size("words").alias("n"), _document_hash(width).alias("hash"))
+        hashed = places.select(*carried, "i", _document_hash(width).alias("hash"))
         own = lookups.filter(F.col("width") == width).drop("width")
-        found.append(hashed.join(F.broadcast(own) if small else own, "hash"))
+        found.append(hashed.join(F.broadcast(own) if small else own, "hash").drop("hash"))
     hits = reduce(DataFrame.unionByName, found)
-    tried = F.explode(F.sequence(F.col("i") - F.col("place") - F.col("missing"), F.col("i") - F.col("place") + F.col("missing")))
-    starts = hits.select(*carried, "n", "length", tried.alias("start"))
-    starts = starts.withColumn("start", F.greatest(F.lit(0), F.least("start", F.col("n") - F.col("length"))))
     if not small:
-        starts = starts.groupBy(*ROW).agg(F.collect_set(F.struct("length", "start")).alias("_starts"))
-        starts = starts.toDF("_id", "_a2", "_b2", "_starts")
+        hits = hits.groupBy(*ROW).agg(F.collect_set(F.struct("item", "i")).alias("_hits"))
+        hits = hits.toDF("_id", "_a2", "_b2", "_hits")
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_a2")) & (F.col("_b") == F.col("_b2"))
-        starts = worded.join(starts, same).select(*ROW, "words", F.inline("_starts"))
-    cut = F.array_join(F.slice("words", F.col("start") + 1, F.col("length")), " ")
-    return starts.select(*ROW, "length", "start", cut.alias("window")).distinct()
+        hits = worded.join(hits, same).select(*ROW, "words", F.inline("_hits"))
+    listed = items.select("item", "length", "width", "item_hashes", F.size("item_shingles").alias("m"))
+    hits = hits.join(F.broadcast(listed) if small else listed, "item")
+    # All windows that contain the shingle: their first words, and the words that they cover.
+    spare = F.size("words") - F.col("length")
+    hits = hits.withColumn("low", F.greatest(F.lit(0), F.least(F.col("i") + F.col("width") - F.col("length"), spare)))
+    hits = hits.withColumn("high", F.greatest(F.lit(0), F.least("i", spare)))
+    covered = F.slice("words", F.col("low") + 1, F.col("high") - F.col("low") + F.col("length"))
+    names = [*ROW, "item", "length", "width", "item_hashes", "m", "low", "high"]
+    hits = hits.select(*names, F.explode(F.array(covered)).alias("near"))
+    marks = F.transform(
+        F.sequence(F.lit(0), F.size("near") - F.col("width")),
+        lambda j: F.array_contains(
+            F.col("item_hashes"), F.xxhash64(F.array_join(F.slice("near", j + 1, F.col("width")), " "))
+        ),
+    )
+    hits = hits.select(*names, "near", F.explode(F.array(marks)).alias("marks"))
+    held = F.least("length", F.size("near")) - F.col("width") + 1
+    needed = F.ceil((held + F.col("m")) * similarity / (1 + similarity) - 1e-9)
+    hits = hits.withColumn("held", held).withColumn("needed", needed)
+    tried = F.filter(
+        F.sequence(F.lit(0), F.col("high") - F.col("low")),
+        lambda s: F.size(F.filter(F.slice("marks", s + 1, F.col("held")), lambda mark: mark)) >= F.col("needed"),
+    )
+    starts = hits.select(*ROW, "item", "length", "low", "near", F.explode(tried).alias("at"))
+    cut = F.array_join(F.slice("near", F.col("at") + 1, F.col("length")), " ")
+    return starts.select(*ROW, "item", (F.col("low") + F.col("at")).alias("start"), cut.alias("window")).distinct()
 
 
 def leaks(
@@ -162,44 +166,32 @@ def leaks(
 
     Returns ``doc_id``, ``item_id``, ``start`` (first word), ``n_words``, ``distance`` (differing
     fingerprint bits), ``similarity`` and the row key ``_a``, ``_b``. Of equally similar
-    windows that were tried, the first counts. Words are lower-cased; NULL and empty texts have none, items without words
+    windows the first counts. Words are lower-cased; NULL and empty texts have none, items without words
     match nothing, items shorter than a shingle are one shingle and match where they occur. Repeated
     items each match. Equal rows of ``docs`` count once; rows without doc_id match like others. Empty
     tables give no row; other columns are left out. Whole texts of any length are searched.
     """
     read = texts(docs)
     listed = settled(_items(items, words))
-    lookups = settled(_lookups(listed, words, similarity))
+    lookups = settled(_lookups(listed, similarity))
     size = lookups.agg(F.count(F.lit(1)).alias("n"), F.collect_set("width").alias("widths")).first()
     small = size["n"] <= broadcast_rows
-    windows = settled(_candidates(read, lookups, sorted(size["widths"]) or [words], small))
-    texts_found = windows.select("length", "window").distinct()
-    printed = texts_found.withColumn("_words", F.split("window", " ")).withColumn("shingles", _shingles("_words", words))
-    printed = settled(_printed(printed.drop("_words"), "shingles", "print"))
-    blocks = printed.withColumn("block", F.explode(_blocks("print", radius)))
-    item_blocks = listed.select(
-        "length", "item_print", F.explode(_blocks("item_print", radius)).alias("block")
-    ).distinct()
-    near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius
-    pairs = (
-        blocks.select("length", "window", "print", "block")
-        .join(item_blocks, ["length", "block"])
-        .filter(near)
-        .select("length", "window", "item_print")
-        .distinct()
-    )
+    windows = settled(_candidates(read, listed, lookups, sorted(size["widths"]) or [words], similarity, small))
+    targets = listed.select("item", "length", "item_id", "item_print", "item_shingles")
+    pairs = windows.select("window", "item").distinct().join(targets, "item")
+    worded = pairs.withColumn("_words", F.explode(F.array(F.split("window", " "))))
+    shingled = worded.withColumn("shingles", F.explode(F.array(_shingles("_words", words)))).drop("_words")
+    alike = shingled.withColumn("similarity", F.explode(F.array(_similarity("shingles", "item_shingles"))))
+    printed = _printed(alike.filter(F.col("similarity") >= similarity), "shingles", "print")
     verified = (
-        printed.join(pairs, ["length", "window"])
-        .join(listed.select("length", "item_print", "item_id", "item_shingles"), ["length", "item_print"])
-        .withColumn("similarity", _similarity("shingles", "item_shingles"))
-        .filter(F.col("similarity") >= similarity)
-        .withColumn("distance", F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))).cast("int"))
-        .select("length", "window", "item_id", "distance", "similarity")
+        printed.withColumn("distance", F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))).cast("int"))
+        .filter(F.col("distance") <= radius)
+        .select("length", "window", "item", "item_id", "distance", "similarity")
     )
     best = F.max_by(
         F.struct("start", "length", "distance", "similarity"), F.struct("similarity", -F.col("start"))
     ).alias("best")
-    matched = windows.join(verified, ["length", "window"]).groupBy(*ROW, "item_id").agg(best)
+    matched = windows.join(verified, ["item", "window"]).groupBy(*ROW, "item_id").agg(best)
     return matched.select(
         "doc_id",
         "item_id",

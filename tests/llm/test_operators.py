@@ -111,6 +111,25 @@ def test_leaks_equal_brute_force_on_either_plan(spark, tables):
     assert decontamination.leaks(frame, listed.limit(0)).count() == 0
 
 
+def test_reordered_passages_are_leaks(spark):
+    chance = random.Random(8)
+    filler = lambda n: [f"f{chance.randrange(10**6)}" for _ in range(n)]
+    docs, items = [], []
+    for number in range(12):
+        item = [f"i{number}x{k}" for k in range(54 + number)]
+        cut = chance.randrange(12, 40) if number else 27
+        items.append((number, " ".join(item)))
+        for before, behind in ((0, 0), (70, 90), (3, 200), (150, 0)):
+            docs.append((len(docs), " ".join(filler(before) + item[cut:] + item[:cut] + filler(behind))))
+    expected = best_windows(docs, items)
+    assert len(expected) == len(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    listed = spark.createDataFrame(items, "item_id long, text string")
+    for bound in (decontamination.BROADCAST_ROWS, 0):
+        found = decontamination.leaks(frame, listed, radius=63, broadcast_rows=bound).collect()
+        assert {(r.doc_id, r.item_id): pytest.approx(r.similarity) for r in found} == expected
+
+
 # ---- operator 2 ----------------------------------------------------------------------------------
 
 
