@@ -1,10 +1,12 @@
 """Documents that hold passages of a benchmark (operator 1), in DataFrame functions alone.
 
-An item and a window of as many words match if their fingerprints lie within the radius and their
-weighted shingle similarity reaches the threshold. Two bags of m shingles reach similarity t only if
+An item and a window of as many words match if their weighted shingle similarity reaches the
+threshold and their fingerprints lie within the radius, which by default any do. Two bags of m shingles reach similarity t only if
 they share 2t/(1+t) of m, so of every item it is enough to look up so many shingles that not all of
 them can be missing. Every window that contains such a shingle is weighed, wherever the shingle
 stands in it, by the places at which it has any shingle of the item; those with too few cannot match.
+A document shorter than the item has fewer shingles than it and need share only t of m: in such
+documents more shingles are looked up.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from assayline.llm.frames import settled, text_key, texts
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-RADIUS = 15
+RADIUS = 64  # all: the similarity decides; a repeated shingle alone may turn any number of bits
 BROADCAST_ROWS = 500_000  # looked-up shingles, 32 bytes each, that are sent to every executor
 ROW = ["doc_id", "_a", "_b"]
 
@@ -73,21 +75,24 @@ def _items(items: DataFrame, size: int) -> DataFrame:
     return _printed(hashed, "item_shingles", "item_print")
 
 
-def _missing(similarity: float, count: Column) -> Column:
-    """How many of ``count`` shingles may be missing."""
-    return F.floor(count * (1 - 2 * similarity / (1 + similarity)) + 1e-9).cast("int")
+def _missing(share: float, count: Column) -> Column:
+    """How many of ``count`` shingles may be missing where a match has at least ``share`` of them."""
+    return F.floor(count * (1 - share) + 1e-9).cast("int")
 
 
 def _lookups(items: DataFrame, similarity: float) -> DataFrame:
-    """The shingles looked up: hash, words in it, and the item.
+    """The shingles looked up: hash, words in it, the item, and the bound on the document's words.
 
     The first distinct shingles by hash are taken until those left out weigh too much to be all that
-    is shared.
+    is shared. ``shorter`` is NULL for those looked up in every document, and the words of the item
+    for those looked up only in documents of fewer words.
     """
     placed = items.select(
         "item",
         "width",
-        _missing(similarity, F.size("item_shingles")).alias("missing"),
+        "length",
+        _missing(2 * similarity / (1 + similarity), F.size("item_shingles")).alias("missing"),
+        _missing(similarity, F.size("item_shingles")).alias("missing_shorter"),
         F.expr(
             "sort_array(transform(array_distinct(item_shingles), s -> named_struct("
             "'hash', xxhash64(s), 'times', size(filter(item_shingles, x -> x = s)))))"
@@ -95,10 +100,13 @@ def _lookups(items: DataFrame, similarity: float) -> DataFrame:
     )
     # A shingle is taken while those before it could all be missing.
     taken = F.expr(
-        "filter(ranked, (r, i) -> aggregate(slice(ranked, 1, i), 0, (n, q) -> n + q.times) <= missing)"
+        "filter(transform(ranked, (r, i) -> named_struct('hash', r.hash, 'before',"
+        " aggregate(slice(ranked, 1, i), 0, (n, q) -> n + q.times))), r -> r.before <= missing_shorter)"
     )
     chosen = settled(placed.withColumn("chosen", taken).drop("ranked"))
-    return chosen.select("item", "width", F.explode("chosen.hash").alias("hash")).distinct()
+    each = chosen.select("item", "width", "length", "missing", F.explode("chosen").alias("one"))
+    shorter = F.when(F.col("one.before") > F.col("missing"), F.col("length")).alias("shorter")
+    return each.select("item", "width", F.col("one.hash").alias("hash"), shorter).distinct()
 
 
 def _document_hash(width: int) -> Column:
@@ -117,9 +125,10 @@ def _candidates(
     for width in widths:
         firsts = F.when(F.size("words") >= width, F.sequence(F.lit(0), F.size("words") - width))
         places = worded.select(*ROW, "words", F.explode(firsts).alias("i"))
-        hashed = places.select(*carried, "i", _document_hash(width).alias("hash"))
+        hashed = places.select(*carried, "i", F.size("words").alias("n"), _document_hash(width).alias("hash"))
         own = lookups.filter(F.col("width") == width).drop("width")
-        found.append(hashed.join(F.broadcast(own) if small else own, "hash").drop("hash"))
+        met = hashed.join(F.broadcast(own) if small else own, "hash")
+        found.append(met.filter(F.col("shorter").isNull() | (F.col("n") < F.col("shorter"))).drop("hash", "n", "shorter"))
     hits = reduce(DataFrame.unionByName, found)
     if not small:
         hits = hits.groupBy(*ROW).agg(F.collect_set(F.struct("item", "i")).alias("_hits"))

@@ -130,6 +130,29 @@ def test_reordered_passages_are_leaks(spark):
         assert {(r.doc_id, r.item_id): pytest.approx(r.similarity) for r in found} == expected
 
 
+def test_default_parameters_lose_no_match(spark):
+    chance = random.Random(9)
+    docs, items = [], []
+    for number in range(150):
+        item = [f"i{number}x{k}" for k in range(19 if number < 100 else 58)]
+        items.append((number, " ".join(item)))
+        cut = len(item) - (len(item) - 4) // 5
+        docs.append((len(docs), " ".join(item[:cut] if number % 2 else item[-cut:])))  # shorter than the item
+        for _ in range(2):
+            edited = list(item)
+            edited[chance.choice([0, 1, -1])] = "zz"
+            if len(item) > 20:
+                edited[20] = "yy"
+            docs.append((len(docs), " ".join(["before"] * 9 + edited + ["behind"] * 9)))
+    items.append((900, " ".join(f"r{k}" for k in range(90)) + " same" * 14))  # an unshared shingle repeated
+    docs.append((len(docs), " ".join(f"r{k}" for k in range(94)) + " other" * 10))
+    expected = best_windows(docs, items)
+    assert len(expected) >= 350
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontamination.leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): pytest.approx(r.similarity) for r in found} == expected
+
+
 # ---- operator 2 ----------------------------------------------------------------------------------
 
 
