@@ -32,6 +32,11 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TEMPLATES), "license_id string, text string")
 
 
+def passages(spark: SparkSession) -> DataFrame:
+    """The short notices, looked for in any place."""
+    return spark.createDataFrame(list(TEMPLATES), "license_id string, text string")
+
+
 def normalised(text: Column) -> Column:
     """Lower-case ASCII letters and digits, everything else one space."""
     return F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
@@ -109,3 +114,133 @@ def license_lines(docs: DataFrame, notices: DataFrame, similarity: float = SIMIL
             "_b",
         )
     )
+
+
+def license_passages(
+    docs: DataFrame, notices: DataFrame, similarity: float = SIMILARITY, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The passages of a text that reach the threshold with a template, wherever they stand.
+
+    Returns the columns of ``license_lines`` with ``line`` of the first word, and ``last``, the line of
+    the last. A text is normalised as a whole; a template of k words is compared with windows of k
+    words. To reach the similarity t a window must share t / (2 - t) of the template's m bigrams, so
+    windows are formed only around the longest bigrams, one more than may be missing, and weighed by
+    the places at which they have any. Of windows that overlap the most similar counts, then the
+    longest, the smallest license_id and the first. NULL and empty texts, and texts shorter than a
+    template, have no window. Equal rows count once; rows without doc_id match like others.
+    """
+    row = ["doc_id", "_a", "_b"]
+    listed = notices.select("license_id", F.split(normalised(F.col("text")), " ").alias("words"))
+    listed = listed.filter(F.size("words") > 1).withColumn("length", F.size("words"))
+    listed = listed.select("license_id", "length", _bigrams("words").alias("notice")).distinct()
+    listed = settled(
+        listed.withColumn("item", F.monotonically_increasing_id())
+        .withColumn("needed", F.ceil(F.size("notice") * similarity / (2 - similarity) - 1e-9).cast("int"))
+    )
+    # The longer a bigram, the fewer texts hold it.
+    ranked = F.sort_array(F.transform("notice", lambda p: F.struct((-F.length(p)).alias("rank"), p.alias("pair"))))
+    chosen = F.slice(ranked, 1, F.size("notice") - F.col("needed") + 1)
+    lookups = listed.select("item", "length", F.explode(chosen).alias("one"))
+    lookups = settled(lookups.select("item", F.col("length").alias("least"), F.xxhash64("one.pair").alias("hash")))
+    small = lookups.count() <= broadcast_rows
+    # The words come out of a generator, so that no later filter repeats the work of splitting.
+    read = texts(docs).select("doc_id", *text_key(), F.coalesce("text", F.lit("")).alias("text"))
+    worded = read.select(*row, "text", F.explode(F.array(F.split(normalised(F.col("text")), " "))).alias("words"))
+    carried = [*row, "text", "words"] if small else row
+    starts = F.when(F.size("words") > 1, F.sequence(F.lit(0), F.size("words") - 2))
+    places = worded.select(*row, "text", "words", F.explode(starts).alias("i"))
+    pair = F.concat_ws(" ", F.get("words", F.col("i")), F.get("words", F.col("i") + 1))
+    hashed = places.select(*carried, "i", F.size("words").alias("n"), F.xxhash64(pair).alias("hash"))
+    hits = hashed.join(F.broadcast(lookups) if small else lookups, "hash").filter(F.col("n") >= F.col("least"))
+    hits = hits.drop("hash", "n", "least")
+    if not small:
+        hits = hits.groupBy(*row).agg(F.collect_set(F.struct("item", "i")).alias("_hits"))
+        hits = hits.toDF("_id", "_a2", "_b2", "_hits")
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_a2")) & (F.col("_b") == F.col("_b2"))
+        hits = worded.join(hits, same).select(*row, "text", "words", F.inline("_hits"))
+    hits = hits.join(F.broadcast(listed) if small else listed, "item")
+    # All windows that contain the bigram: their first words, and the bigrams that they cover.
+    hits = hits.withColumn("low", F.greatest(F.lit(0), F.col("i") + 2 - F.col("length")))
+    hits = hits.withColumn("high", F.least("i", F.size("words") - F.col("length")))
+    covered = F.transform(F.sequence("low", F.col("high") + F.col("length") - 2), lambda j: F.array_join(F.slice("words", j + 1, 2), " "))
+    names = [*row, "text", "license_id", "length", "notice", "needed", "low", "high"]
+    hits = hits.select(*names, F.explode(F.array(covered)).alias("pairs"))
+    marks = F.transform("pairs", lambda p: F.array_contains("notice", p))
+    hits = hits.select(*names, "pairs", F.explode(F.array(marks)).alias("marks"))
+    hits = hits.filter(F.size(F.filter("marks", lambda mark: mark)) >= F.col("needed"))
+    tried = F.filter(
+        F.sequence(F.lit(0), F.col("high") - F.col("low")),
+        lambda s: F.size(F.filter(F.slice("marks", s + 1, F.col("length") - 1), lambda mark: mark)) >= F.col("needed"),
+    )
+    windows = hits.select(*names, "pairs", F.explode(tried).alias("at"))
+    own = F.array_distinct(F.slice("pairs", F.col("at") + 1, F.col("length") - 1))
+    windows = windows.select(*names, "at", F.explode(F.array(own)).alias("own"))
+    dice = 2.0 * F.size(F.array_intersect("own", "notice")) / (F.size("own") + F.size("notice"))
+    windows = windows.withColumn("dice", dice).filter(F.col("dice") >= similarity)
+    start = F.col("low") + F.col("at")
+
+    def line_of(word: Column) -> Column:
+        """The lines that end before a word of the text."""
+        counts = F.transform(
+            F.split("text", "\n"),
+            lambda line: F.size(F.filter(F.split(normalised(line), " "), lambda w: w != "")),
+        )
+        begun = F.struct(F.lit(0).alias("words"), F.lit(0).alias("line"))
+        passed = F.aggregate(
+            counts,
+            begun,
+            lambda held, count: F.when(
+                held["words"] + count <= word,
+                F.struct((held["words"] + count).alias("words"), (held["line"] + 1).alias("line")),
+            ).otherwise(F.struct(F.lit(1 << 30).alias("words"), held["line"].alias("line"))),
+        )
+        return passed["line"].cast("long")
+
+    one = F.struct(
+        (-F.col("dice")).alias("less"),
+        (-F.col("length")).alias("shorter"),
+        "license_id",
+        start.alias("start"),
+        (start + F.col("length")).alias("behind"),
+    ).alias("one")
+    found = windows.select(*row, "text", one)
+    found = found.groupBy(*row).agg(F.collect_set("one").alias("every"), F.first("text").alias("text"))
+    best = F.filter(
+        "every",
+        lambda w: ~F.exists(
+            "every", lambda o: (o["start"] < w["behind"]) & (w["start"] < o["behind"]) & (o < w)
+        ),
+    )
+    found = found.select(*row, "text", F.explode(best).alias("one"))
+    return found.select(
+        "doc_id",
+        line_of(F.col("one.start")).alias("line"),
+        F.col("one.license_id").alias("license_id"),
+        (-F.col("one.less")).alias("dice"),
+        "_a",
+        "_b",
+        line_of(F.col("one.behind") - 1).alias("last"),
+    )
+
+
+def license_notices(
+    docs: DataFrame, lines: DataFrame, passages: DataFrame, similarity: float = SIMILARITY
+) -> DataFrame:
+    """``license_lines`` with the templates ``lines``, and ``license_passages`` with ``passages`` beside them.
+
+    A passage inside a line that matched as a whole, or that names the same licence from the same
+    line on, is not listed again. A line may hold passages of several licences.
+    """
+    whole = license_lines(docs, lines, similarity)
+    known = whole.select(*[F.col(c).alias(f"_{c}_") for c in ("doc_id", "_a", "_b", "line", "license_id")])
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_doc_id_"))
+        & (F.col("_a") == F.col("__a_"))
+        & (F.col("_b") == F.col("__b_"))
+        & (F.col("line") == F.col("_line_"))
+        & ((F.col("license_id") == F.col("_license_id_")) | (F.col("last") == F.col("line")))
+    )
+    more = license_passages(docs, passages, similarity).join(known, same, "left_anti").drop("last")
+    # Of a licence that a line holds twice, the more similar passage.
+    more = more.groupBy("doc_id", "_a", "_b", "line", "license_id").agg(F.max("dice").alias("dice"))
+    return whole.unionByName(more)

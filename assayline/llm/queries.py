@@ -89,7 +89,8 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = licenses.license_lines(table(spark, folder, "documents"), licenses.templates(spark))
+    documents = table(spark, folder, "documents")
+    found = licenses.license_notices(documents, licenses.templates(spark), licenses.passages(spark))
     return found.drop("_a", "_b")
 
 

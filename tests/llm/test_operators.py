@@ -499,6 +499,35 @@ def test_license_lines(spark, awkward):
     assert licenses.license_lines(awkward[2], notices).count() == 0
 
 
+def notices_of(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.license_notices(frame, licenses.templates(spark), licenses.passages(spark)).collect()
+    return sorted(((r.doc_id, r.line, r.license_id, round(r.dice, 2)) for r in found), key=repr)
+
+
+def test_notices_wrapped_or_inside_a_paragraph_are_found(spark):
+    before, behind = "many words stand here before it " * 9, "and others follow it " * 9
+    wrapped = "intro\n\nThis work is licensed under the GNU Affero\nGeneral Public License, version 3.\nend"
+    rows = [
+        (1, wrapped),
+        (2, f"{before}Released under the MIT License. {behind}"),
+        (3, f"first\n{before}Licensed under CC BY-NC 4.0. {behind}Released under the BSD 3-Clause License. {before}"),
+        (4, "Released under the MIT License."),
+        (5, f"{before}released the licence {behind}"),
+        (6, None),
+        (7, ""),
+    ]
+    expected = [(1, 2, "agpl-3.0", 1.0), (2, 0, "mit", 1.0), (3, 1, "cc-by-nc-4.0", 1.0), (3, 1, "bsd-3-clause", 1.0)]
+    expected += [(4, 0, "mit", 1.0)]
+    assert notices_of(spark, rows) == sorted(expected, key=repr)
+    frame, listed = spark.createDataFrame(rows, "doc_id long, text string"), licenses.passages(spark)
+    either = [
+        sorted(map(repr, licenses.license_passages(frame, listed, broadcast_rows=bound).collect()))
+        for bound in (licenses.BROADCAST_ROWS, 0)
+    ]
+    assert either[0] == either[1]
+
+
 # ---- registered twins ----------------------------------------------------------------------------
 
 
