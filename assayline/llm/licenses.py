@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline.llm.frames import settled, text_key, texts
+from assayline.llm.license_texts import TEXTS
 
 SIMILARITY = 0.8
 BROADCAST_ROWS = 100_000  # (template, size) pairs that are sent to every executor
@@ -33,8 +34,8 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def passages(spark: SparkSession) -> DataFrame:
-    """The short notices, looked for in any place."""
-    return spark.createDataFrame(list(TEMPLATES), "license_id string, text string")
+    """The short notices, and the bodies, headers and SPDX lines."""
+    return spark.createDataFrame([*TEMPLATES, *TEXTS], "license_id string, text string")
 
 
 def normalised(text: Column) -> Column:

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -17,6 +18,7 @@ from hypothesis import strategies as st
 import __spark_entry__ as entry
 from assayline.llm import (
     decontamination,
+    license_texts,
     licenses,
     packing,
     pii,
@@ -505,6 +507,23 @@ def notices_of(spark, rows):
     return sorted(((r.doc_id, r.line, r.license_id, round(r.dice, 2)) for r in found), key=repr)
 
 
+def test_real_notices_are_found(spark):
+    bodies = {}
+    for name, text in license_texts.TEXTS:
+        bodies.setdefault(name, text)
+    texts = ["mit", "bsd-2-clause", "bsd-3-clause", "isc", "apache-2.0", "mpl-2.0"]
+    rows = [(i, f"tool.c\nCopyright (c) 2020 A. Person\n\n{bodies[n]}\nint main;") for i, n in enumerate(texts)]
+    gnu = [(n, t) for n, t in license_texts.TEXTS if t.startswith("This program")]
+    commented = ["/*\n" + "\n".join(f" * {line}" for line in textwrap.wrap(t, 50)) + "\n */" for _, t in gnu]
+    rows += [(20 + i, t) for i, t in enumerate(commented)]
+    spdx = [(n, t) for n, t in license_texts.TEXTS if t.startswith("SPDX")]
+    rows += [(50 + i, f"#!/bin/sh\n# {t}\necho a") for i, (_, t) in enumerate(spdx)]
+    found = notices_of(spark, rows)
+    expected = [(i, 3, n) for i, n in enumerate(texts)]
+    expected += [(20 + i, 1, n) for i, (n, _) in enumerate(gnu)] + [(50 + i, 1, n) for i, (n, _) in enumerate(spdx)]
+    assert sorted({r[:3] for r in found}) == sorted(expected)
+
+
 def test_notices_wrapped_or_inside_a_paragraph_are_found(spark):
     before, behind = "many words stand here before it " * 9, "and others follow it " * 9
     wrapped = "intro\n\nThis work is licensed under the GNU Affero\nGeneral Public License, version 3.\nend"
@@ -513,12 +532,13 @@ def test_notices_wrapped_or_inside_a_paragraph_are_found(spark):
         (2, f"{before}Released under the MIT License. {behind}"),
         (3, f"first\n{before}Licensed under CC BY-NC 4.0. {behind}Released under the BSD 3-Clause License. {before}"),
         (4, "Released under the MIT License."),
+        (None, f"{before}\n{license_texts.TEXTS[4][1].replace(chr(10), ' ')} {behind}"),
         (5, f"{before}released the licence {behind}"),
         (6, None),
         (7, ""),
     ]
     expected = [(1, 2, "agpl-3.0", 1.0), (2, 0, "mit", 1.0), (3, 1, "cc-by-nc-4.0", 1.0), (3, 1, "bsd-3-clause", 1.0)]
-    expected += [(4, 0, "mit", 1.0)]
+    expected += [(4, 0, "mit", 1.0), (None, 1, "mit", 1.0)]
     assert notices_of(spark, rows) == sorted(expected, key=repr)
     frame, listed = spark.createDataFrame(rows, "doc_id long, text string"), licenses.passages(spark)
     either = [
