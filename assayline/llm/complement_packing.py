@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,6 @@ from assayline.llm.frames import map_arrow, settled
 
 CAPACITY = 2048
 END_ID = 0
-PIECES_PER_SALT = 250_000  # pieces of one length that one task ranks
 
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -193,7 +193,6 @@ def pack(
     path: str,
     capacity: int = CAPACITY,
     end_id: int = END_ID,
-    pieces_per_salt: int = PIECES_PER_SALT,
 ) -> DataFrame:
     """Every piece of every document, with the sequence and the offset it is packed at.
 
@@ -203,8 +202,9 @@ def pack(
     shuffled. The other pieces are packed by their lengths alone: the histogram (fewer than
     ``capacity`` bins) goes to the driver, and the patterns come back as ranges of ranks. A piece
     finds its range by its rank among the pieces of its length, counted within (length, salt) with
-    the sizes of earlier salts added. The salts grow with the commonest length and are dealt by place,
-    not by value, so neither a hot length nor equal rows meet in one task.
+    the sizes of earlier salts added. A length has as many salts as the root of its pieces, so that
+    many pieces share a salt; they are dealt by place, not by value, so neither a hot length nor equal
+    rows meet in one task.
 
     NULL and empty texts are one piece that holds the end id. NULL and repeated doc_ids and equal
     rows are documents of their own; which of two pieces of equal length comes first is settled by
@@ -227,9 +227,13 @@ def pack(
     whole = pieces.filter(F.col("length") == capacity).select(
         *pieces.columns[:-1], (-1 - F.col("_place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    salts = max([1, *histogram.values()]) // pieces_per_salt + 1
-    salted = pieces.filter(F.col("length") < capacity).withColumn(
-        "_salt", F.pmod(F.xxhash64("_place"), F.lit(salts)).cast("int")
+    salts = spark.createDataFrame(
+        [(length, math.isqrt(n) + 1) for length, n in histogram.items()], "length long, _salts int"
+    )  # fewer rows than the capacity
+    salted = (
+        pieces.filter(F.col("length") < capacity)
+        .join(F.broadcast(salts), "length")
+        .withColumn("_salt", F.pmod(F.xxhash64("_place"), F.col("_salts")).cast("int"))
     )
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)

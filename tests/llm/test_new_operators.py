@@ -75,9 +75,9 @@ def test_best_fit_packing_is_an_exact_round_trip(spark, awkward):
 
 
 def test_a_hot_length_is_dealt_over_salts(spark):
-    frame = spark.createDataFrame([(i % 7, "one two three") for i in range(400)], "doc_id long, text string")
-    pieces = complement_packing.pack(frame, PATH, pieces_per_salt=50).collect()
-    used, least = check_packing([(i % 7, "one two three") for i in range(400)], pieces)
+    rows = [(i % 7, "one two three") for i in range(400)]
+    pieces = complement_packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
+    used, least = check_packing(rows, pieces)
     assert used == least
 
 
