@@ -19,18 +19,41 @@ INT_MAX = 2**31 - 1
 PLAIN_NUMBER = r"^\s*[+-]?\d*\.?\d*\s*$"
 
 
+def _as_printed(text: Column, declared: T.DataType) -> Column:
+    """The text in a type, if the type prints it as it is written; times may have a T and end in zeros."""
+    value = text.try_cast(declared)
+    if isinstance(declared, (T.TimestampType, T.TimestampNTZType)):
+        text = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})T", "$1 ")
+        text = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    elif isinstance(declared, T.BooleanType):
+        text = F.lower(text)
+    return F.when(value.cast("string") == text, value)
+
+
 def parsed(value: Column, landed: T.DataType, declared: T.DataType) -> Column:
     """The value in its declared type, NULL if that type cannot keep it unchanged.
 
-    Text goes through a wide decimal, so ``3.0`` is the integer 3, while ``NaN``, infinities, typed
-    suffixes, numbers out of range and extra digits do not fit.
+    Text of a number goes through a wide decimal, so ``3.0`` is the integer 3, while ``NaN``,
+    infinities, typed suffixes, numbers out of range and extra digits do not fit. Text of a day, a
+    time or a truth value is parsed, printed back and compared, so ``2024``, ``2024-05`` and
+    ``2024-02-03 junk`` are no days. Numbers and times of another type are cast and cast back.
     """
     exact = isinstance(declared, (T.IntegralType, T.DecimalType))
-    if not (exact and isinstance(landed, T.StringType)):
-        return value.try_cast(declared)
-    wide = F.trim(value).try_cast("decimal(38,10)")
-    narrow = wide.try_cast(declared)
-    return F.when(narrow.cast("decimal(38,10)") == wide, narrow)
+    if landed == declared:
+        return value
+    if isinstance(landed, T.StringType):
+        text = F.trim(value)
+        if exact:
+            wide = text.try_cast("decimal(38,10)")
+            narrow = wide.try_cast(declared)
+            return F.when(narrow.cast("decimal(38,10)") == wide, narrow)
+        if isinstance(declared, (T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)):
+            return _as_printed(text, declared)
+    narrow = value.try_cast(declared)
+    timed = isinstance(declared, T.DateType) and isinstance(landed, (T.TimestampType, T.TimestampNTZType))
+    if timed or (exact and isinstance(landed, T.NumericType)):
+        return F.when(narrow.cast(landed) == value, narrow)
+    return narrow
 
 
 def as_number(field: str) -> Column:
@@ -38,7 +61,14 @@ def as_number(field: str) -> Column:
 
 
 def as_date(field: str) -> Column:
-    return F.col(field).try_cast("date")
+    """The day of a dated column, or of text that is written as a day is printed.
+
+    ``typeof`` is a constant, so nothing is printed back for columns that are no text.
+    """
+    value = F.col(field)
+    day = value.try_cast("date")
+    is_text = F.typeof(value) == "string"
+    return F.when(~is_text | (day.cast("string") == F.trim(value.cast("string"))), day)
 
 
 def valid_email(field: str) -> Column:

@@ -93,36 +93,42 @@ class Lookup:
 
 
 def key_counts(child: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Rows of each key of several columns, and whether its parent knows it, from one scan of the child.
+    """Rows of each key of several columns, and whether its parent knows it.
 
-    ``_set`` is the position of the column, ``_filled`` tells whether the key is not NULL. Each
-    column keeps its type, as the keys of a set stand in a column of their own.
+    Keys of one type share a stream of (``_set``, key), where ``_set`` is the position of the column,
+    so the child is scanned once for each type among its keys, and a key crosses the shuffle as one
+    narrow row per map task. The keys themselves are not kept: ``_filled`` tells whether one is not
+    NULL.
     """
-    types = [child.schema[look.column].dataType for look in lookups]
-    names = [f"_k{i}" for i in range(len(lookups))]
-
-    def entry(position: int, key: Column, rows: int, known: bool) -> Column:
-        keys = [key if i == position else F.lit(None).cast(t) for i, t in enumerate(types)]
-        return F.struct(
-            F.lit(position).alias("_set"),
-            *[k.alias(name) for k, name in zip(keys, names)],
-            F.lit(rows).alias("_rows"),
-            F.lit(known).alias("_known"),
+    by_type: dict[str, list[int]] = {}
+    for i, look in enumerate(lookups):
+        by_type.setdefault(child.schema[look.column].dataType.simpleString(), []).append(i)
+
+    def stream(kind: str, positions: list[int]) -> DataFrame:
+        def entry(position: int, key: Column, rows: int, known: bool) -> Column:
+            return F.struct(
+                F.lit(position).alias("_set"),
+                key.alias("_key"),
+                F.lit(rows).alias("_rows"),
+                F.lit(known).alias("_known"),
+            )
+
+        entries = [entry(i, F.col(lookups[i].column), 1, False) for i in positions]
+        parts = [child.select(F.inline(F.array(*entries)))]
+        for i in positions:
+            look = lookups[i]
+            if look.parent is not None:
+                key = F.col(look.parent_key).try_cast(kind)
+                known = look.parent.filter(key.isNotNull()).select(entry(i, key, 0, True).alias("_entry"))
+                parts.append(known.select("_entry.*"))
+        return (
+            reduce(DataFrame.unionByName, parts)
+            .groupBy("_set", "_key")
+            .agg(F.sum("_rows").alias("rows"), F.bool_or("_known").alias("known"))
+            .select("_set", "rows", "known", F.col("_key").isNotNull().alias("_filled"))
         )
 
-    entries = [entry(i, F.col(look.column), 1, False) for i, look in enumerate(lookups)]
-    parts = [child.select(F.inline(F.array(*entries)))]
-    for i, look in enumerate(lookups):
-        if look.parent is not None:
-            key = F.col(look.parent_key).try_cast(types[i])
-            known = look.parent.filter(key.isNotNull()).select(entry(i, key, 0, True).alias("_entry"))
-            parts.append(known.select("_entry.*"))
-    return (
-        reduce(lambda left, right: left.unionByName(right), parts)
-        .groupBy("_set", *names)
-        .agg(F.sum("_rows").alias("rows"), F.bool_or("_known").alias("known"))
-        .withColumn("_filled", reduce(or_, [F.col(n).isNotNull() for n in names]))
-    )
+    return reduce(DataFrame.unionByName, [stream(kind, at) for kind, at in by_type.items()])
 
 
 def orphaned_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
 from assayline.functions import classify, rules
-from assayline.operators import checks
+from assayline.operators import checks, keys
 from assayline.operators.lookup import Lookup, key_counts, key_presence
 from assayline.specs import ForeignKey, Rule, TableSpec
 
@@ -128,7 +128,7 @@ def referential_metrics(
 
 def _key_totals(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """One row: total, duplicate and orphan rows of each looked-up column, by its position."""
-    rows, keys = F.col("rows"), key_counts(df, lookups)
+    rows = F.col("rows")
 
     def summed(condition: Column, name: str) -> Column:
         return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0)).alias(name)
@@ -141,7 +141,7 @@ def _key_totals(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             summed(own & (rows > 1), f"duplicate_{i}"),
             summed(own & F.col("_filled") & ~F.col("known"), f"orphan_{i}"),
         ]
-    return keys.agg(*measures)
+    return key_counts(df, lookups).agg(*measures)
 
 
 def _report_row(passed: str, labels: Mapping[str, Column]) -> dict[str, Column]:
@@ -177,13 +177,8 @@ def quality_report(frames: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([check_report(df, name) for name, df in frames.items()])
 
 
-def extended_report(
-    marked: DataFrame, spec: TableSpec, run_id: str, run_timestamp: Column
-) -> DataFrame:
-    """Report rows per column and per check of one table, stamped with the run.
-
-    ``marked`` is a flagged frame that still holds its duplicate and orphan markers.
-    """
+def _extended_measures(spec: TableSpec) -> list[tuple[str, str | None, Column]]:
+    """Check, column, and what passes it, in the order of the report."""
     measures: list[tuple[str, str | None, Column]] = [
         ("completeness", f, F.col(f).isNotNull()) for f in spec.completeness
     ]
@@ -195,10 +190,23 @@ def extended_report(
         for fk in spec.foreign_keys
     ]
     measures.append(("overall_pass", None, F.col(fixed.VERDICT_COLUMN) == fixed.PASS))
-    totals = marked.agg(
+    return measures
+
+
+def extended_counts(spec: TableSpec) -> list[Column]:
+    """The aggregates of :func:`extended_report`, over a flagged frame that still holds its markers.
+
+    They can also be observed while the frame is written.
+    """
+    measures = _extended_measures(spec)
+    return [
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(passed).alias(f"passed_{i}") for i, (_, _, passed) in enumerate(measures)],
-    )
+    ]
+
+
+def extended_rows(totals: DataFrame, spec: TableSpec, run_id: str, run_timestamp: Column) -> DataFrame:
+    """The report rows from the one row of :func:`extended_counts`."""
     return rows_of(
         totals,
         [
@@ -212,11 +220,21 @@ def extended_report(
                     "column_name": F.lit(column).cast("string"),
                 },
             )
-            for i, (check, column, _) in enumerate(measures)
+            for i, (check, column, _) in enumerate(_extended_measures(spec))
         ],
     )
 
 
+def extended_report(
+    marked: DataFrame, spec: TableSpec, run_id: str, run_timestamp: Column
+) -> DataFrame:
+    """Report rows per column and per check of one table, stamped with the run.
+
+    ``marked`` is a flagged frame that still holds its duplicate and orphan markers.
+    """
+    return extended_rows(marked.agg(*extended_counts(spec)), spec, run_id, run_timestamp)
+
+
 def with_alerts(report: DataFrame) -> DataFrame:
     """Alert level of each report row and whether it misses the limit of its check.
 
@@ -327,9 +345,11 @@ def defect_inventory(
 ) -> DataFrame:
     """Defects of the raw inputs before any check: totals, NULLs, duplicates and orphans.
 
-    Each table is scanned twice: for its NULLs, and for all its keys together.
+    NULLs are counted as landed, keys in their declared types, as Silver compares them. Each table is
+    scanned twice: for its NULLs, and for all its keys together.
     """
     parts = []
+    typed = keys.typed_tables(bronze, specs)
 
     def part(spec: TableSpec, counted: DataFrame, labels: Mapping[str, str]) -> None:
         parts.append(
@@ -356,8 +376,9 @@ def defect_inventory(
         part(spec, totals, {"total rows": "total", **nulls})
         lookups = [
             Lookup(spec.primary_key),
-            *[Lookup(fk.column, bronze[fk.parent], fk.parent_key) for fk in spec.foreign_keys],
+            *[Lookup(fk.column, typed[fk.parent], fk.parent_key) for fk in spec.foreign_keys],
         ]
         orphans = {f"ORPHAN {fk.column}": f"orphan_{i}" for i, fk in enumerate(spec.foreign_keys, 1)}
-        part(spec, _key_totals(df, lookups), {f"DUPLICATE {spec.primary_key}": "duplicate_0", **orphans})
+        counted = _key_totals(typed[spec.name], lookups)
+        part(spec, counted, {f"DUPLICATE {spec.primary_key}": "duplicate_0", **orphans})
     return union_all(parts)

@@ -6,12 +6,10 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
-from assayline.functions import rules
-from assayline.operators import checks
-from assayline.operators.lookup import KeySet, SizeBound, mark, settle
+from assayline.operators import checks, keys
+from assayline.operators.lookup import SizeBound, mark, settle
 from assayline.specs import TABLES, TableSpec
 
 SPECS = {spec.name: spec for spec in TABLES}
@@ -28,49 +26,27 @@ def _typed(bronze: DataFrame, spec: TableSpec, as_of: date) -> DataFrame:
     )
 
 
-def _keys(bronze: DataFrame, spec: TableSpec, columns: Sequence[str]) -> DataFrame:
-    """The key columns alone, with their declared types."""
-    complete = checks.add_absent_columns(bronze, spec.schema)
-    return complete.select(
-        [
-            rules.parsed(F.col(c), complete.schema[c].dataType, spec.schema[c].dataType).alias(c)
-            for c in columns
-        ]
-    )
-
-
-def _key_sets(spec: TableSpec, bronze: Mapping[str, DataFrame]) -> list[KeySet]:
-    columns = [spec.primary_key, *[fk.column for fk in spec.foreign_keys]]
-    own = _keys(bronze[spec.name], spec, columns)
-    parents = {
-        fk.parent: _keys(bronze[fk.parent], SPECS[fk.parent], [fk.parent_key])
-        for fk in spec.foreign_keys
-    }
-    return [
-        checks.duplicate_keys(own, [spec.primary_key]),
-        *checks.orphan_keys(own, spec.foreign_keys, parents),
-    ]
-
-
 def marked_tables(
     bronze: Mapping[str, DataFrame],
     as_of: date,
     specs: Sequence[TableSpec] = TABLES,
     bound: SizeBound = SizeBound(),
+    rows: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The flagged tables with their duplicate and orphan markers still in place.
 
     ``bronze`` holds the landed tables by name, parents included. The key sets of all tables are
-    settled in one job; after it, each table is a single pass over its rows.
+    settled in one job; after it, each table is a single pass over its rows. ``rows`` may give other
+    frames of the same rows for that pass, such as observed ones.
     """
-    key_sets = {spec.name: _key_sets(spec, bronze) for spec in specs}
+    typed = keys.typed_tables(bronze, specs)
+    key_sets = {s.name: [keys.duplicate_set(s, typed), *keys.orphan_sets(s, typed)] for s in specs}
     settled = iter(settle([ks for spec in specs for ks in key_sets[spec.name]]))
     marked = {}
     for spec in specs:
         own = [next(settled) for _ in key_sets[spec.name]]
-        typed = _typed(bronze[spec.name], spec, as_of)
         flagged = (
-            mark(typed, own, bound)
+            mark(_typed((rows or bronze)[spec.name], spec, as_of), own, bound)
             .withColumn(checks.UNIQUENESS, checks.uniqueness_flag([spec.primary_key]))
             .withColumn(checks.REFERENTIAL, checks.referential_flag(spec.foreign_keys))
         )

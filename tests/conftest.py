@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "2000")  # plans name their files in full
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "shared"))
         .getOrCreate()

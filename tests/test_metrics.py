@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
 from assayline.operators import checks, metrics
+from assayline.operators.lookup import Lookup, key_counts
+from assayline.plans import dimensions
 from assayline.plans.silver import flagged_tables, marked_tables
 from assayline.specs import CUSTOMERS, ORDERS, TABLES
 from tests.conftest import AS_OF
@@ -154,3 +156,47 @@ def test_rows_with_a_reason_among_others(spark, reason):
     orders = flagged_tables(_bronze(spark), AS_OF)["orders"]
     assert checks.failing_with(orders, reason).count() == {"D": 2, "O": 1}[reason[0]]
     assert checks.failing(orders).count() + checks.passing(orders).count() == 5
+
+
+def _text_tables(spark):
+    customers = [("1", "a"), (" 1", "b"), ("1.0", "c"), ("2", "d"), ("x", "e"), ("y", "f"), (None, "g")]
+    orders = [("1", "1.0", "5"), ("1.0", " 2", "5.0"), ("2", "3", "6"), (" 3", "x", "7"), ("4", None, " 5")]
+    return {
+        "customers": spark.createDataFrame(customers, "customer_id string, email string"),
+        "products": spark.createDataFrame([("5",), ("7.0",)], "product_id string"),
+        "orders": spark.createDataFrame(orders, "order_id string, customer_id string, product_id string"),
+    }
+
+
+def test_all_views_compare_keys_in_their_declared_types(spark):
+    bronze = _text_tables(spark)
+    silver = flagged_tables(bronze, AS_OF)
+    flagged, unique = dimensions.uniqueness(bronze)
+    wanted = {"customers": 6, "products": 0, "orders": 2}  # 1 three times and three keys that are none
+    for name, rows in wanted.items():
+        assert silver[name].filter(F.col(checks.UNIQUENESS) != "PASS").count() == rows
+        assert flagged[name].columns == [*bronze[name].columns, checks.UNIQUENESS]
+        assert flagged[name].filter(F.col(checks.UNIQUENESS) != "PASS").count() == rows
+    assert {r.table_name: r.duplicate_rows for r in unique.collect()} == {f"bronze_{n}": k for n, k in wanted.items()}
+    landed = sorted(r.order_id for r in flagged["orders"].filter(F.col(checks.UNIQUENESS) != "PASS").collect())
+    assert landed == ["1", "1.0"]
+
+    flagged, orphans = dimensions.referential_integrity(bronze)
+    expected = [("1", "PASS"), ("1.0", "PASS"), ("2", "FAIL: ORPHAN customer_id"), (" 3", "PASS"), ("4", "PASS")]
+    assert [(r.order_id, r[checks.REFERENTIAL]) for r in flagged["orders"].collect()] == expected
+    assert sorted(r[checks.REFERENTIAL] for r in silver["orders"].collect()) == sorted(f for _, f in expected)
+    assert {r.check_name: r.orphan_rows for r in orphans.collect()} == {
+        "customer_id referential": 1, "product_id referential": 1,
+    }
+    inventory = {r.defect: r.row_count for r in metrics.defect_inventory(bronze, TABLES).collect()}
+    assert inventory["DUPLICATE customer_id"] == 6 and inventory["DUPLICATE order_id"] == 2
+    assert inventory["ORPHAN customer_id"] == 1 and inventory["ORPHAN product_id"] == 1
+
+
+def test_keys_of_several_types_are_counted_apart(spark):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (None, "b")], "n long, s string")
+    parent = spark.createDataFrame([("b",), (None,)], "k string")
+    counted = key_counts(child, [Lookup("n"), Lookup("s", parent, "k")]).collect()
+    assert sorted(map(tuple, counted), key=repr) == sorted(
+        [(0, 2, False, True), (0, 1, False, False), (1, 1, False, True), (1, 2, True, True)], key=repr
+    )

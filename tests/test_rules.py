@@ -6,6 +6,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayline import fixed_values as fixed
 from assayline.functions import classify, rules
@@ -40,6 +41,50 @@ def test_past_date_as_text_and_as_date(spark):
     assert broken(spark, "date", days, rule) == [False, True, False]
 
 
+LANDED_DAYS = {
+    "2024-06-29": True, " 2024-06-29 ": True, "2024": False, "2024-05": False, "2024-2-3": False,
+    "2024-02-03 junk": False, "2024-02-03T99": False, "2024-02-03 00:00:00": False, "2024-02-30": False,
+    "20240203": False, "+2024-02-03": False, "": False, "today": False, None: False,
+}
+
+
+def test_text_is_a_day_only_as_a_day_is_printed(spark):
+    df = spark.createDataFrame([(v,) for v in LANDED_DAYS], "v string")
+    day = rules.parsed(F.col("v"), T.StringType(), T.DateType())
+    found = {r.v: (r.a, r.b) for r in df.select("v", rules.as_date("v").alias("a"), day.alias("b")).collect()}
+    for text, fits in LANDED_DAYS.items():
+        expected = date.fromisoformat(text.strip()) if fits else None
+        assert found[text] == (expected, expected), text
+
+
+def test_text_of_a_time_or_a_truth_value(spark):
+    times = {
+        "2024-02-03 10:00:00": True, "2024-02-03T10:00:00": True, "2024-02-03 10:00:00.500": True,
+        "2024-02-03 10:00:00.000": True, "2024-02-03": False, "2024-02-03 10": False, "2024-02-03 10:00:00Z": False,
+        "2024-02-03 25:00:00": False, "x": False,
+    }
+    df = spark.createDataFrame([(v,) for v in times], "v string")
+    for kind in (T.TimestampType(), T.TimestampNTZType()):
+        rows = df.select("v", rules.parsed(F.col("v"), T.StringType(), kind).alias("t")).collect()
+        assert {r.v: r.t is not None for r in rows} == times
+    truth = spark.createDataFrame([("true",), ("FALSE",), ("t",), ("1",), ("yes",)], "v string")
+    rows = truth.select(rules.parsed(F.col("v"), T.StringType(), T.BooleanType()).alias("b")).collect()
+    assert [r.b for r in rows] == [True, False, None, None, None]
+
+
+def test_typed_values_that_another_type_cannot_keep(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1.0D, 2.50BD, TIMESTAMP '2024-02-03 00:00:00'), "
+        "(1.5D, 2.505BD, TIMESTAMP '2024-02-03 01:00:00'), (1e20D, NULL, NULL), (double('NaN'), 1BD, NULL) AS t(d, m, s)"
+    )
+    kinds = {f.name: f.dataType for f in df.schema}
+    cases = {"d": T.LongType(), "m": T.DecimalType(18, 2), "s": T.DateType()}
+    rows = df.select(*[rules.parsed(F.col(c), kinds[c], kind).alias(c) for c, kind in cases.items()]).collect()
+    assert [r.d for r in rows] == [1, None, None, None]
+    assert [None if r.m is None else str(r.m) for r in rows] == ["2.50", None, None, "1.00"]
+    assert [r.s for r in rows] == [date(2024, 2, 3), None, None, None]
+
+
 def test_positive_integer_text(spark):
     values = ["1", "0", "-1", "3.7", "5.0", " 7 ", "N/A", "2147483647", "2147483648", "1e3", "NaN", "", None]
     assert broken(spark, "string", values, rules.positive_integer) == [
