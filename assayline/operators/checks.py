@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +18,10 @@ from assayline.operators.lookup import (
     KeySet,
     SizeBound,
     duplicated_keys,
+    mark,
     mark_members,
     orphaned_keys,
+    settle,
 )
 from assayline.specs import ForeignKey, Rule
 
@@ -88,35 +92,67 @@ def flag_keep_first(
 ) -> DataFrame:
     """The first row of a key in the given order passes, later ones fail.
 
-    Only rows of duplicated keys are ranked. A key may own any share of the table, so it is ranked in
-    two rounds: within (key, input partition), then among the winners of the first round alone, at
-    most one per input partition. The partition is read before any shuffle by key, and rows are dealt
-    out by it explicitly: a merge join leaves them hashed by key, which Spark would accept for the
-    first round, and one task would rank the whole key. Exact copies of a row are told apart by rank,
-    not by value.
+    For each duplicated key the first row is described by its values in ``order_by`` and a hash of
+    the whole row. That description comes from narrow columns in two aggregates, which combine before
+    the shuffle however many rows a key owns, and is settled: one row per duplicated key. The wide
+    rows are then read once and compared with the first row of their key.
+
+    Where several rows meet one description, which only copies of a row do (or rows whose hashes
+    collide), those rows alone are ranked, in two rounds, so that exactly one of them passes.
     """
-    failed = F.lit(fixed.DUPLICATE_FLAG.format(field=",".join(columns)))
-    dealt = df.withColumn("_salt", F.spark_partition_id())
-    marked = mark_members(dealt, [duplicate_keys(df, columns)], bound)
-    single = marked.filter(~F.col(DUPLICATE_MARKER)).withColumn(UNIQUENESS, F.lit(fixed.PASS))
-
-    salted = marked.filter(DUPLICATE_MARKER).repartition(*columns, "_salt")
-    ranking = [F.col(c).asc_nulls_first() for c in order_by]
-    local = salted.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*columns, "_salt").orderBy(*ranking))
+    duplicated = settle([duplicate_keys(df, columns)])[0]
+    if duplicated.rows == 0:
+        return df.withColumn(UNIQUENESS, F.lit(fixed.PASS))
+    hashable = [name for name, kind in df.dtypes if "map<" not in kind]
+    described = [F.col(c).alias(f"_by{i}") for i, c in enumerate(order_by)]
+    described.append(F.xxhash64(*hashable).alias("_row"))
+    names = [f"_by{i}" for i in range(len(order_by))] + ["_row"]
+
+    narrow = mark(df.select(*columns, *described), [duplicated], bound).filter(DUPLICATE_MARKER)
+    counted = narrow.groupBy(*columns, *names).agg(F.count(F.lit(1)).alias("_copies"))
+    first = F.min(F.struct(*names, "_copies")).alias("_first")
+    keys = [f"_key{i}" for i in range(len(columns))]
+    winners = counted.groupBy(*columns).agg(first).toDF(*keys, "_first").checkpoint()
+    width = F.sum(F.octet_length(F.to_csv(F.struct(*keys, *[f"_first.{n}" for n in names]))))
+    size = winners.agg(width.alias("bytes"), F.max("_first._copies").alias("copies")).first()
+
+    small = duplicated.rows <= bound.rows and size["bytes"] <= bound.bytes
+    pairs = [(F.col(c), F.col(k)) for c, k in zip(columns, keys)]
+    same_key = [a.eqNullSafe(b) if duplicated.has_null else a == b for a, b in pairs]
+    dealt = df.withColumn("_salt", F.spark_partition_id()) if size["copies"] > 1 else df
+    joined = dealt.select("*", *described).join(
+        F.broadcast(winners) if small else winners.hint("merge"), reduce(and_, same_key), "left"
     )
-    # Winners of the first round meet in group -1 of their key, losers stay in their own group.
-    final = local.withColumn("_group", F.when(F.col("_local") == 1, -1).otherwise(F.col("_salt")))
-    ranked = final.withColumn(
-        "_final",
-        F.row_number().over(
-            Window.partitionBy(*columns, "_group").orderBy(F.col("_local"), *ranking)
-        ),
+    is_first = reduce(and_, [F.col(n).eqNullSafe(F.col(f"_first.{n}")) for n in names])
+    unlike = F.col("_first").isNotNull() & ~is_first
+    failed = F.lit(fixed.DUPLICATE_FLAG.format(field=",".join(columns)))
+    flag = F.when(unlike, failed).otherwise(F.lit(fixed.PASS))
+    helpers = [*names, *keys, "_first"]
+    if size["copies"] == 1:
+        return joined.withColumn(UNIQUENESS, flag).drop(*helpers)
+    copied = F.coalesce((F.col("_first._copies") > 1) & is_first, F.lit(False))
+    ranked = _one_of_copies(joined.filter(copied), columns).withColumn(
+        UNIQUENESS, F.when(F.col("_kept"), F.lit(fixed.PASS)).otherwise(failed)
     )
+    single = joined.filter(~copied).withColumn(UNIQUENESS, flag)
+    return single.drop(*helpers, "_salt").unionByName(ranked.drop(*helpers, "_salt", "_kept"))
+
+
+def _one_of_copies(copies: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds ``_kept``, true for one row of each key.
+
+    A key may own any share of the rows, so they are ranked in two rounds: within (key, ``_salt``),
+    the partition they were read in, and then among the firsts alone. They are dealt out by both: a
+    merge join leaves them hashed by key, and one task would rank the whole key.
+    """
+    own = Window.partitionBy(*columns, "_salt").orderBy(F.lit(1))
+    local = copies.repartition(*columns, "_salt").withColumn("_local", F.row_number().over(own))
+    # Firsts meet in group -1 of their key, the others stay in their own group.
+    grouped = local.withColumn("_group", F.when(F.col("_local") == 1, -1).otherwise(F.col("_salt")))
+    final = Window.partitionBy(*columns, "_group").orderBy("_local")
+    ranked = grouped.withColumn("_final", F.row_number().over(final))
     kept = (F.col("_local") == 1) & (F.col("_final") == 1)
-    several = ranked.withColumn(UNIQUENESS, F.when(kept, F.lit(fixed.PASS)).otherwise(failed))
-    helpers = [DUPLICATE_MARKER, "_salt", "_local", "_group", "_final"]
-    return single.drop(*helpers).unionByName(several.drop(*helpers))
+    return ranked.withColumn("_kept", kept).drop("_local", "_group", "_final")
 
 
 # ---- type and format ---------------------------------------------------------------------------

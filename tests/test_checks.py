@@ -330,9 +330,35 @@ def ranked_partitions(df):
     return [line for line in plan_text(df).split("\n") if "Exchange hashpartitioning" in line]
 
 
+@ANY_PATH
+def test_keep_first_reads_rows_once_and_ranks_none_without_copies(spark, tmp_path, bound):
+    hot = spark.range(0, 3000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id % 700) AS k", "id AS t")
+    hot.write.parquet(f"{tmp_path}/hot")
+    df = spark.read.parquet(f"{tmp_path}/hot")
+    flagged = checks.flag_keep_first(df, ["k"], ["t"], bound)
+    plan = plan_text(flagged)
+    assert plan.count(f"[file:{tmp_path}/hot") == 1 and "Window" not in plan
+    kept = flagged.filter(F.col(checks.UNIQUENESS) == "PASS")
+    assert sorted(map(tuple, kept.select("k", "t").collect())) == sorted(
+        map(tuple, df.groupBy("k").agg(F.min("t")).collect())
+    )
+    none = checks.flag_keep_first(df.select("t"), ["t"], ["t"], bound)
+    assert {r[checks.UNIQUENESS] for r in none.collect()} == {"PASS"} and "Join" not in plan_text(none)
+
+
+@ANY_PATH
+def test_keep_first_of_null_keys_and_null_order(spark, bound):
+    rows = [(None, None, "a"), (None, None, "b"), (None, 2, "c"), (1, None, "d"), (1, 1, "e"), (2, 3, "f")]
+    df = spark.createDataFrame(rows, "k long, t long, x string")
+    flagged = checks.flag_keep_first(df, ["k"], ["t"], bound).collect()
+    passed = [r.x for r in flagged if r[checks.UNIQUENESS] == "PASS"]
+    assert len(flagged) == 6 and len(passed) == 3 and {"d", "f"} < set(passed) and {"a", "b"} & set(passed)
+
+
 @ANY_PATH
 def test_keep_first_deals_a_hot_key_out_before_ranking(spark, bound):
-    df = spark.range(0, 3000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id % 700) AS k", "id AS t")
+    """Only copies of a first row are ranked; here a third of the rows are copies of one row."""
+    df = spark.range(0, 3000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id % 700) AS k", "IF(id % 3 = 0, 0, id) AS t")
     flagged = checks.flag_keep_first(df, ["k"], ["t"], bound)
     keys = ranked_partitions(flagged)
     assert any("_salt" in line for line in keys) and any("_group" in line for line in keys)
