@@ -42,13 +42,17 @@ def customer_segment(
     high_orders: int = fixed.HIGH_VALUE_ABOVE_ORDERS,
     repeat_from: int = fixed.REPEAT_FROM_ORDERS,
     repeat_to: int = fixed.REPEAT_TO_ORDERS,
+    revenue: Column | None = None,
+    age: Column | None = None,
 ) -> Column:
-    """Behavioural segment of a row of customer revenue."""
+    """Behavioural segment of a row of customer revenue, or of the given revenue and days since the last order."""
     orders = F.col("total_orders")
+    revenue = F.col("total_revenue") if revenue is None else revenue
+    age = F.col("days_since_last_order") if age is None else age
     return first_match(
         [
-            (F.col("days_since_last_order") > inactive_after, "Inactive"),
-            ((F.col("total_revenue") > high_revenue) | (orders > high_orders), "High-Value"),
+            (age > inactive_after, "Inactive"),
+            ((revenue > high_revenue) | (orders > high_orders), "High-Value"),
             (orders == 1, "One-Time"),
             (orders.between(repeat_from, repeat_to), "Repeat"),
         ],

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assayline import fixed_values as fixed
@@ -20,8 +20,10 @@ from assayline.sources.files import add_audit_columns, read_csv, resolve_source_
 from assayline.sources.tables import (
     append_table,
     drop_table,
+    new_version,
     overwrite_table,
-    publish_table,
+    publish_tables,
+    stage_table,
     staging_name,
 )
 from assayline.specs import TABLES, TableSpec
@@ -115,23 +117,31 @@ def run_silver(
 ) -> dict[str, DataFrame]:
     """Flag and write every table, then the report from the written tables; raise on failure.
 
-    All tables are staged, and their rows counted as they are written; only when each holds as many
-    rows as landed do they replace the former ones. The flags are evaluated once, by that write. With
-    a ``run_id`` the metrics per column are a second pass over Bronze, appended to their own table.
+    Each table is scanned twice: its key columns for the key sets, and its rows once, which are
+    flagged, counted as they are read, measured per column if there is a ``run_id``, counted again
+    as they are written, and staged. Only when every table holds as many rows as landed do all of
+    them take the place of the former ones, in one version.
     """
-    day = as_of or date.today()
+    day, version = as_of or date.today(), new_version()
     bronze = {spec.name: spark.table(spec.bronze) for spec in specs}
-    marked = marked_tables(bronze, day, specs)
+    landed = {spec.name: Observation() for spec in specs}
+    rows = {n: df.observe(landed[n], F.count(F.lit(1)).alias("rows")) for n, df in bronze.items()}
+    marked = marked_tables(bronze, day, specs, rows=rows)
+    counts = {spec.name: Observation() for spec in specs}
+    if run_id is not None:
+        for spec in specs:
+            marked[spec.name] = marked[spec.name].observe(counts[spec.name], *metrics.extended_counts(spec))
     try:
         for name, df in without_markers(marked, bronze).items():
-            spec = SPECS[name]
-            staged = staging_name(spec.silver)
-            kept = overwrite_table(df, staged, fmt, described_as=spec.silver)
-            landed = bronze[name].count()
-            if landed != kept:
-                raise ValueError(f"{spec.silver} would hold {kept} rows, {spec.bronze} holds {landed}")
-        for spec in specs:
-            publish_table(spark, spec.silver)
+            silver = SPECS[name].silver
+            kept = stage_table(df, silver, fmt, version=version)
+            read = int(landed[name].get["rows"])
+            if read != kept:
+                # A stage that ran again after a lost executor may have observed rows twice.
+                read, kept = bronze[name].count(), spark.table(staging_name(silver)).count()
+            if read != kept:
+                raise ValueError(f"{silver} would hold {kept} rows, {SPECS[name].bronze} holds {read}")
+        publish_tables(spark, [spec.silver for spec in specs])
     finally:
         for spec in specs:
             drop_table(spark, staging_name(spec.silver))
@@ -140,8 +150,14 @@ def run_silver(
     overwrite_table(metrics.quality_report(silver), QUALITY_REPORT, fmt)
     report = spark.table(QUALITY_REPORT)
     if run_id is not None:
-        now = F.current_timestamp()
-        parts = [metrics.extended_report(marked[s.name], s, run_id, now) for s in specs]
+        parts = []
+        for spec in specs:
+            found = {n: int(v) for n, v in counts[spec.name].get.items()}
+            if found["total"] != silver[spec.silver].count():  # observed twice, as above
+                parts.append(metrics.extended_report(marked_tables(bronze, day, [spec])[spec.name], spec, run_id, F.current_timestamp()))
+                continue
+            totals = spark.range(1).select(*[F.lit(v).cast("long").alias(n) for n, v in found.items()])
+            parts.append(metrics.extended_rows(totals, spec, run_id, F.current_timestamp()))
         append_table(metrics.union_all(parts), QUALITY_METRICS, fmt)
     return {**silver, QUALITY_REPORT: report}
 
@@ -224,9 +240,9 @@ def run_gold(
     def work(job: GoldJob) -> int:
         staged = staging_name(job.table_name)
         try:
-            overwrite_table(job.build(spark, day), staged, fmt, described_as=job.table_name)
+            stage_table(job.build(spark, day), job.table_name, fmt)
             rows = validate_table(spark.table(staged), job.table_name, job.key_columns, allow_empty)
-            publish_table(spark, job.table_name)
+            publish_tables(spark, [job.table_name])
             return rows
         finally:
             drop_table(spark, staged)

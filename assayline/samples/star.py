@@ -9,6 +9,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assayline.functions.classify import first_match
 from assayline.samples.defects import Defect, inject_defects
@@ -39,8 +40,15 @@ ORDER_DEFECTS = (
 )
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """A table of the schema; its columns are read from its footers once, as that is a job of its own."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def clean_customers(spark: SparkSession, folder: str) -> DataFrame:

@@ -40,9 +40,26 @@ def read_csv(
     return landed if schema is None else standardize(landed, schema, trim_text=False)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """A folder of CSV files with headers; NULL is written as an empty field."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and the file system that it is on."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    there, store = _path(spark, path)
+    store.delete(there, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it does not exist."""
+    there, store = _path(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(there)] if store.exists(there) else []
 
 
 def add_audit_columns(

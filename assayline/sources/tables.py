@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayline.fixed_values import DATABASE, VERDICT_COLUMN
+from assayline.sources.files import folder_names, remove_folder
 from assayline.specs import MONEY, TABLES, TableSpec
 
 
@@ -131,42 +134,126 @@ def _with_comments(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def overwrite_table(
+# ---- content in versions -----------------------------------------------------------------------
+#
+# Each content of a table lies in a folder of its own, ``<database>/<table>__versions/<version>``. New
+# content is written beside the current one and takes its place by a change of the table's location,
+# one operation of the catalog: readers find the former or the new content, and never none.
+
+VERSIONS = "__versions"
+VERSIONS_KEPT = 2  # the current one, and the one that readers may still be reading
+
+
+def new_version() -> str:
+    """A name for what one run writes; names sort by time."""
+    return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _versions_folder(spark: SparkSession, name: str) -> str:
+    database, _, table = name.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{table}{VERSIONS}"
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return described["data_type"] if described else None
+
+
+def staging_name(name: str) -> str:
+    """Where the next content of a table can be read until it has passed its checks."""
+    return f"{name}__staged"
+
+
+def stage_table(
     df: DataFrame,
     name: str,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-    described_as: str | None = None,
+    version: str | None = None,
 ) -> int:
-    """Replace the table, its schema included, and return the rows written.
+    """Write the next content of the table and return its rows; the table itself stays as it is.
 
-    The count is observed on the rows as they are written; the plan runs once. ``described_as`` names
-    the table whose comments are taken, if it is another one.
+    The count is observed on the rows as they are written; the plan runs once.
     """
-    described = described_as or name
+    spark, staged = df.sparkSession, staging_name(name)
+    drop_table(spark, staged)
     written = Observation()
-    observed = _with_comments(df, described).observe(written, F.count(F.lit(1)).alias("rows"))
+    observed = _with_comments(df, name).observe(written, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    if described in DEFINITIONS:
-        comment = _quoted(DEFINITIONS[described].comment)
-        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS {comment}")
+    writer.option("path", f"{_versions_folder(spark, name)}/{version or new_version()}").saveAsTable(staged)
+    if name in DEFINITIONS:
+        spark.sql(f"COMMENT ON TABLE {staged} IS {_quoted(DEFINITIONS[name].comment)}")
     return int(written.get["rows"])
 
 
-def staging_name(name: str) -> str:
-    """Where the next content of a table is written until it has passed its checks."""
-    return f"{name}__staged"
+def _columns(spark: SparkSession, name: str) -> list[tuple[str, str]]:
+    return spark.table(name).dtypes
+
+
+def _partitioned(spark: SparkSession, name: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(name))
+
 
+def publish_tables(spark: SparkSession, names: Sequence[str]) -> None:
+    """Put the staged contents in the place of the tables; rows are neither read nor written again.
 
-def publish_table(spark: SparkSession, name: str) -> None:
-    """Put the staged content in the place of the table; rows are neither read nor written again."""
-    drop_table(spark, name)
-    spark.sql(f"ALTER TABLE {staging_name(name)} RENAME TO {name}")
+    A table that keeps its columns changes its location only. Where columns change, or the table is
+    partitioned, it is dropped and the staged one renamed. If one table fails, those before it go
+    back to their former content.
+    """
+    moved: list[tuple[str, str]] = []
+    try:
+        for name in names:
+            staged, former = staging_name(name), table_location(spark, name)
+            same = former is not None and _columns(spark, name) == _columns(spark, staged)
+            if same and not _partitioned(spark, staged):
+                spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(table_location(spark, staged))}")
+                moved.append((name, former))
+                spark.sql(f"DROP TABLE {staged}")
+            else:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+                spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        for name, former in reversed(moved):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(former)}")
+        raise
+    for name in names:
+        _remove_old_versions(spark, name)
+
+
+def _remove_old_versions(spark: SparkSession, name: str) -> None:
+    folder, current = _versions_folder(spark, name), table_location(spark, name)
+    older = sorted(v for v in folder_names(spark, folder) if not current.endswith(f"/{v}"))
+    for version in older[: max(0, len(older) - VERSIONS_KEPT + 1)]:
+        remove_folder(spark, f"{folder}/{version}")
+
+
+def snapshot(spark: SparkSession, names: Sequence[str], fmt: str = "parquet", tries: int = 20) -> dict[str, DataFrame]:
+    """Tables that one run published together, all of one version and pinned to its folders.
+
+    Between two location changes of one run the tables are of two versions for a moment; then they
+    are asked for again.
+    """
+    for _ in range(tries):
+        found = {name: table_location(spark, name) for name in names}
+        if None not in found.values() and len({place.rsplit("/", 1)[-1] for place in found.values()}) == 1:
+            return {n: spark.read.format(fmt).schema(spark.table(n).schema).load(place) for n, place in found.items()}
+        time.sleep(0.1)
+    raise ValueError(f"tables of different versions: {found}")
+
+
+def overwrite_table(
+    df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> int:
+    """Replace the table, its columns included, and return the rows written."""
+    rows = stage_table(df, name, fmt, partition_by)
+    publish_tables(df.sparkSession, [name])
+    return rows
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
@@ -175,7 +262,13 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop the table with its content; a table also with its former versions."""
+    location = table_location(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    folder, _, _ = (location or "").rpartition("/")
+    if folder.endswith(VERSIONS):
+        own = folder.rsplit("/", 1)[-1] == f"{name.rpartition('.')[2]}{VERSIONS}"
+        remove_folder(spark, folder if own else location)
 
 
 def sample_rows(df: DataFrame, rows: int = 5) -> DataFrame:

@@ -9,10 +9,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from assayline.operators import metrics
 from assayline.operators.checks import UNIQUENESS
 from assayline.plans import dashboard, gold, reconcile
 from assayline.plans.dashboard import DashboardFilters
-from tests.conftest import AS_OF, plan_text
+from tests.conftest import AS_OF, SMALL_TABLES, plan_text
+from workload import queries as workload_queries
 
 DAY = date(2024, 6, 1)
 
@@ -196,3 +198,56 @@ def test_histogram_variants(tables):
     concentration = dashboard.revenue_concentration(revenue).collect()
     assert concentration[-1].cumulative_pct == pytest.approx(100.0)
     assert sum(r.pct_of_revenue for r in concentration) == pytest.approx(100.0, abs=0.05)
+
+
+def _messy_parents(spark):
+    customers = [(i, f"c{i}" if i % 5 else None, "S", "X", "PASS" if i % 4 else "FAIL: x") for i in range(12)]
+    products = [(i, f"p{i}", "cat" if i % 3 else None, "PASS" if i % 6 else "FAIL: y") for i in range(9)]
+    columns = "customer_id long, customer_name string, customer_segment string, country string, quality_check_result string"
+    return (
+        spark.createDataFrame(customers + customers[1:2] + [(2, "other", "S", "X", "PASS")], columns),
+        spark.createDataFrame(
+            products + products[1:2], "product_id long, product_name string, category string, quality_check_result string"
+        ).withColumns({"price": F.lit(Decimal("2.00")), "cost": F.lit(Decimal("1.00"))}),
+    )
+
+
+def test_totals_in_one_pass_equal_the_gold_tables(spark):
+    rows = [
+        (i, i % 15 if i % 7 else None, i % 11, 1, Decimal(i) if i % 13 else None, DAY - timedelta(days=9 * i), "PASS" if i % 9 else "FAIL")
+        for i in range(200)
+    ]
+    orders = make_orders(spark, rows)
+    customers, products = _messy_parents(spark)
+    sales, revenue = gold.sales_by_product(orders, products), gold.revenue_by_customer(orders, customers, DAY)
+    totals = reconcile.gold_totals(orders, [reconcile.sold_products(products), reconcile.buying_customers(customers, DAY)])
+    assert totals.count() <= 20
+    wanted = reconcile.revenue_reconciliation(orders, sales, revenue)
+    assert reconcile.reconciled_totals(totals).collect() == wanted.collect()
+    assert reconcile.reconciled_totals(totals).dtypes == wanted.dtypes
+    segmentation = gold.customer_segmentation(revenue)
+    checked = {r.table_name: (r.row_count, r.null_key_rows) for r in reconcile.key_nulls_of_totals(totals).collect()}
+    for name, frame, keys in (
+        ("gold_sales_by_product", sales, ["product_id", "product_name", "category", "total_revenue"]),
+        ("gold_revenue_by_customer", revenue, ["customer_id", "customer_name", "total_revenue"]),
+        ("gold_customer_segmentation", segmentation, ["segment_type", "customer_count", "total_revenue"]),
+    ):
+        row = metrics.key_null_check(frame, name, keys).first()
+        assert checked[name] == (row.row_count, row.null_key_rows), name
+    assert sum(n for _, n in checked.values()) > 0
+    alone = reconcile.gold_totals(orders, [reconcile.buying_customers(customers, DAY)])
+    assert reconcile.segment_total_of(alone).collect() == reconcile.segment_total_check(segmentation, revenue).collect()
+
+
+def test_totals_of_no_orders(spark):
+    orders = make_orders(spark, [])
+    customers, products = _messy_parents(spark)
+    totals = reconcile.gold_totals(orders, [reconcile.sold_products(products), reconcile.buying_customers(customers, DAY)])
+    assert tuple(reconcile.reconciled_totals(totals).first()) == (Decimal(0),) * 5
+    assert {r.row_count for r in reconcile.key_nulls_of_totals(totals).collect()} <= {0}
+
+
+def test_gold_checks_scan_the_orders_once(spark):
+    for name in ("gold_reconciliation", "gold_key_null_check", "segment_total_check"):
+        plan = plan_text(workload_queries.registered()[name](spark, SMALL_TABLES))
+        assert plan.count("orders.parquet]") == 1, name

@@ -359,3 +359,90 @@ def test_overwrite_replaces_rows_and_schema(spark):
     assert tables.sample_rows(spark.table("overwrite_test"), 1).count() == 1
     tables.drop_table(spark, "overwrite_test")
     tables.drop_table(spark, "overwrite_test")
+
+
+def test_metrics_per_column_come_with_the_write(spark, layers, monkeypatch):
+    """With a run_id nothing reads Bronze again: what the report needs is observed while Silver is written."""
+
+    def reads_again(*_):
+        raise AssertionError("a second pass")
+
+    bronze = {spec.name: spark.table(spec.bronze) for spec in TABLES}
+    marked = silver.marked_tables(bronze, DAY)
+    now = F.lit(None).cast("timestamp")
+    wanted = metrics.union_all([metrics.extended_report(marked[s.name], s, "third", now) for s in TABLES])
+    wanted = sorted(map(repr, wanted.drop("run_timestamp").collect()))
+    monkeypatch.setattr(metrics, "extended_report", reads_again)
+    jobs.run_silver(spark, DAY, run_id="third")
+    found = spark.table(jobs.QUALITY_METRICS).filter("run_id = 'third'").drop("run_timestamp")
+    assert sorted(map(repr, found.collect())) == wanted
+
+
+def _two_tables(spark, value):
+    for name in ("switch_a", "switch_b"):
+        tables.stage_table(spark.range(4).select("id", F.lit(value).alias("v")), name, version=f"v{value}")
+
+
+def _values(spark):
+    return [{r.v for r in spark.table(n).collect()} for n in ("switch_a", "switch_b")]
+
+
+def test_a_switch_never_leaves_a_table_absent(spark, monkeypatch):
+    names = ["switch_a", "switch_b"]
+    _two_tables(spark, 1)
+    tables.publish_tables(spark, names)
+    pinned = tables.snapshot(spark, names)
+    _two_tables(spark, 2)
+    plain, seen = spark.sql, []
+
+    def watched(statement, *args, **options):
+        result = plain(statement, *args, **options)
+        seen.append(_values(spark))
+        return result
+
+    monkeypatch.setattr(spark, "sql", watched)
+    tables.publish_tables(spark, names)
+    monkeypatch.undo()
+    assert seen[0] == [{1}, {1}] and seen[-1] == [{2}, {2}]
+    assert all(v in ({1}, {2}) for both in seen for v in both)
+    assert {r.v for df in pinned.values() for r in df.collect()} == {1}  # still readable
+    assert {r.v for df in tables.snapshot(spark, names).values() for r in df.collect()} == {2}
+
+    _two_tables(spark, 3)
+
+    def fails_at_b(statement, *args, **options):
+        if statement.startswith("ALTER TABLE switch_b SET LOCATION"):
+            raise RuntimeError("lost")
+        return plain(statement, *args, **options)
+
+    monkeypatch.setattr(spark, "sql", fails_at_b)
+    with pytest.raises(RuntimeError):
+        tables.publish_tables(spark, names)
+    monkeypatch.undo()
+    assert _values(spark) == [{2}, {2}]
+    for value in (4, 5):
+        _two_tables(spark, value)
+        tables.publish_tables(spark, names)
+    folder = tables.table_location(spark, "switch_a").rpartition("/")[0]
+    assert files.folder_names(spark, folder) and len(files.folder_names(spark, folder)) == tables.VERSIONS_KEPT
+    for name in names:
+        tables.drop_table(spark, name)
+    assert files.folder_names(spark, folder) == []
+
+
+def test_tables_of_two_versions_are_no_snapshot(spark):
+    _two_tables(spark, 1)
+    tables.publish_tables(spark, ["switch_a", "switch_b"])
+    tables.overwrite_table(spark.range(2).select("id", F.lit(9).alias("v")), "switch_b")
+    with pytest.raises(ValueError, match="different versions"):
+        tables.snapshot(spark, ["switch_a", "switch_b"], tries=1)
+    for name in ("switch_a", "switch_b"):
+        tables.drop_table(spark, name)
+
+
+def test_a_partitioned_table_is_replaced(spark):
+    for rows in (3, 5):
+        df = spark.range(rows).select("id", (F.col("id") % 2).alias("half"))
+        assert tables.overwrite_table(df, "halves_test", partition_by=["half"]) == rows
+        assert spark.table("halves_test").filter("half = 0").count() == (rows + 1) // 2
+    tables.drop_table(spark, "halves_test")

@@ -98,6 +98,163 @@ SELECT *, {_VERDICT} AS quality_check_result FROM (
   FROM {source} o)"""
 
 
+# ---- extracts landed as text -------------------------------------------------------------------
+
+_DECIMAL = "TRY_CAST(trim({0}) AS DECIMAL(38,10))"
+
+
+def _exactly(kind: str, column: str) -> str:
+    """The number that a text says, if the type keeps all of it."""
+    wide = _DECIMAL.format(column)
+    return f"CASE WHEN TRY_CAST({wide} AS {kind}) = {wide} THEN TRY_CAST({wide} AS {kind}) END"
+
+
+def _day(column: str) -> str:
+    return (
+        f"CASE WHEN regexp_full_match(trim({column}), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
+        f"THEN TRY_CAST(trim({column}) AS DATE) END"
+    )
+
+
+_TEXT_TYPES = {
+    "customers": {
+        "customer_id": "BIGINT", "customer_name": "", "email": "", "country": "", "signup_date": "DATE",
+        "customer_segment": "", "lifetime_value": "DECIMAL(18,2)",
+    },
+    "products": {
+        "product_id": "BIGINT", "product_name": "", "category": "", "price": "DECIMAL(18,2)",
+        "cost": "DECIMAL(18,2)", "stock_quantity": "INT", "reorder_level": "INT",
+    },
+    "orders": {
+        "order_id": "BIGINT", "customer_id": "BIGINT", "order_date": "DATE", "product_id": "BIGINT",
+        "quantity": "INT", "unit_price": "DECIMAL(18,2)", "total_amount": "DECIMAL(18,2)",
+        "order_status": "", "payment_date": "DATE",
+    },
+}
+_ODD_TEXTS = {
+    "customers": {
+        "customer_id": "WHEN customer_id % 70 = 3 THEN customer_id || '.0' WHEN customer_id % 110 = 5 THEN ' ' || customer_id",
+        "signup_date": "WHEN customer_id % 130 = 9 THEN '1994-05'",
+    },
+    "products": {
+        "product_id": "WHEN product_id % 90 = 4 THEN ' ' || product_id WHEN product_id % 120 = 6 THEN product_id || '.0'",
+        "price": "WHEN product_id % 150 = 9 THEN '12.345'",
+        "cost": "WHEN product_id % 210 = 19 THEN 'NaN'",
+        "stock_quantity": "WHEN product_id % 170 = 13 THEN '1e20' WHEN product_id % 190 = 17 THEN '7.0'",
+        "reorder_level": "WHEN product_id % 230 = 23 THEN 'abc'",
+    },
+    "orders": {
+        "order_id": "WHEN order_id % 900 = 7 THEN order_id || '.0' WHEN order_id % 1500 = 4 THEN ' ' || order_id "
+        "WHEN order_id % 700 = 17 THEN 'abc'",
+        "customer_id": "WHEN order_id % 80 = 19 THEN customer_id || '.0' WHEN order_id % 760 = 23 THEN 'x'",
+        "product_id": "WHEN order_id % 95 = 11 THEN ' ' || product_id",
+        "order_date": "WHEN order_id % 600 = 47 THEN '2000' WHEN order_id % 610 = 53 THEN '2000-05' "
+        "WHEN order_id % 620 = 59 THEN '2000-02-03 junk'",
+        "payment_date": "WHEN order_id % 630 = 61 THEN '2000-02-03T99'",
+        "quantity": "WHEN order_id % 640 = 29 THEN '1e20' WHEN order_id % 650 = 31 THEN '3.0' "
+        "WHEN order_id % 660 = 37 THEN '2.5'",
+        "unit_price": "WHEN order_id % 670 = 67 THEN 'abc'",
+        "total_amount": "WHEN order_id % 680 = 41 THEN '12.345' WHEN order_id % 690 = 43 THEN 'NaN'",
+    },
+}
+
+
+def _landed(table: str) -> str:
+    odd = _ODD_TEXTS[table]
+    columns = [
+        f"CASE {odd[c]} ELSE CAST({c} AS VARCHAR) END AS {c}" if c in odd else f"CAST({c} AS VARCHAR) AS {c}"
+        for c in _TEXT_TYPES[table]
+    ]
+    return f"SELECT {', '.join(columns)} FROM fx_{table}"
+
+
+def _typed(column: str, kind: str) -> str:
+    if not kind:
+        return column
+    return _day(column) if kind == "DATE" else _exactly(kind, column)
+
+
+def _silver_from_text(table: str, key: str, completeness: str, rules: str, referential: str) -> str:
+    """Rules judge the text, then what no longer fits; all other flags see the typed values."""
+    kinds = _TEXT_TYPES[table]
+    typed = ", ".join(f"{_typed(c, kind)} AS {c}" for c, kind in kinds.items())
+    names = {"BIGINT": "bigint", "INT": "int", "DATE": "date", "DECIMAL(18,2)": "decimal(18,2)"}
+    unfitting = " ".join(
+        f"WHEN {c} IS NOT NULL AND ({_typed(c, kind)}) IS NULL THEN 'FAIL: INVALID {c} - not {names[kind]}'"
+        for c, kind in kinds.items()
+        if kind
+    )
+    types = f"CASE {rules} {unfitting} ELSE 'PASS' END"
+    return _silver(
+        completeness, key, "landed_types", referential,
+        f"(SELECT {typed}, {types} AS landed_types FROM tx_{table})",
+    ).replace("SELECT o.*,", "SELECT o.* EXCLUDE (landed_types),")
+
+
+def _number(column: str) -> str:
+    return f"TRY_CAST({column} AS DOUBLE)"
+
+
+_QUANTITY_TEXT = rf"""{_number('quantity')} > 0 AND floor({_number('quantity')}) = {_number('quantity')}
+    AND abs({_number('quantity')}) <= 2147483647 AND regexp_matches(quantity, '^\s*[+-]?\d*\.?\d*\s*$')"""
+_FROM_TEXT = {
+    **{f"tx_{t}": _landed(t) for t in _TEXT_TYPES},
+    "ts_customers": _silver_from_text(
+        "customers", "customer_id", _COMPLETE_CUSTOMERS,
+        f"""WHEN email IS NOT NULL AND NOT regexp_matches(email, {_EMAIL})
+                THEN 'FAIL: INVALID email - invalid email format'
+            WHEN signup_date IS NOT NULL AND NOT coalesce({_day('signup_date')} <= {_AS_OF}, FALSE)
+                THEN 'FAIL: INVALID signup_date - invalid or future date'""",
+        "'PASS'",
+    ),
+    "ts_products": _silver_from_text(
+        "products", "product_id", "'PASS'",
+        f"""WHEN price IS NOT NULL AND NOT coalesce({_number('price')} > 0, FALSE)
+                THEN 'FAIL: INVALID price - must be positive'
+            WHEN cost IS NOT NULL
+                 AND NOT coalesce({_number('cost')} > 0 AND {_number('cost')} < {_number('price')}, FALSE)
+                THEN 'FAIL: INVALID cost - must be positive and less than price'""",
+        "'PASS'",
+    ),
+    "ts_orders": _silver_from_text(
+        "orders", "order_id", _COMPLETE_ORDERS,
+        f"""WHEN quantity IS NOT NULL AND NOT coalesce({_QUANTITY_TEXT}, FALSE)
+                THEN 'FAIL: INVALID quantity - must be positive integer'
+            WHEN total_amount IS NOT NULL AND NOT coalesce({_number('total_amount')} > 0, FALSE)
+                THEN 'FAIL: INVALID total_amount - must be positive decimal'
+            WHEN order_date IS NOT NULL AND NOT coalesce({_day('order_date')} <= {_AS_OF}, FALSE)
+                THEN 'FAIL: INVALID order_date - invalid or future date'""",
+        _REFERENTIAL,
+    ),
+    "text_sales": """
+SELECT p.product_id, p.product_name, p.category,
+       count(DISTINCT o.order_id) AS total_orders,
+       CAST(sum(o.quantity) AS BIGINT) AS total_quantity,
+       CAST(sum(o.total_amount) AS DECIMAL(18,2)) AS total_revenue,
+       round(CAST(sum(o.total_amount) AS DOUBLE) / count(o.total_amount), 4) AS avg_order_value,
+       round((CAST(max(p.price) AS DOUBLE) - CAST(max(p.cost) AS DOUBLE))
+             / CAST(max(p.price) AS DOUBLE) * 100, 2) AS profit_margin
+FROM ts_orders o JOIN ts_products p ON o.product_id = p.product_id
+WHERE o.quality_check_result = 'PASS' AND p.quality_check_result = 'PASS'
+GROUP BY p.product_id, p.product_name, p.category""",
+}
+
+
+def _key_checks() -> str:
+    counted = [
+        f"SELECT 'DUPLICATE {t[:-1]}_id' AS key_check, "
+        f"count(*) FILTER (WHERE quality_uniqueness <> 'PASS') AS row_count FROM ts_{t}"
+        for t in _TEXT_TYPES
+    ]
+    counted += [
+        f"SELECT 'ORPHAN {key}', count(*) FILTER (WHERE {orphan}) FROM ts_orders o"
+        for key, orphan in (("customer_id", _ORPHAN_CUSTOMER), ("product_id", _ORPHAN_PRODUCT))
+    ]
+    union = " UNION ALL ".join(counted)
+    return f"""SELECT seen_by, key_check, row_count FROM ({union})
+CROSS JOIN (VALUES ('silver'), ('dimensions'), ('inventory')) AS views(seen_by)"""
+
+
 _TABLES = {
     **_FIXTURES,
     "sv_customers": _silver(
@@ -105,6 +262,7 @@ _TABLES = {
     ),
     "sv_products": _silver("'PASS'", "product_id", _TYPE_PRODUCTS, "'PASS'", "fx_products"),
     "sv_orders": _silver(_COMPLETE_ORDERS, "order_id", _TYPE_ORDERS, _REFERENTIAL, "fx_orders"),
+    **_FROM_TEXT,
     "ok_customers": "SELECT * FROM sv_customers WHERE quality_check_result = 'PASS'",
     "ok_products": "SELECT * FROM sv_products WHERE quality_check_result = 'PASS'",
     "ok_orders": "SELECT * FROM sv_orders WHERE quality_check_result = 'PASS'",
@@ -309,6 +467,21 @@ def _layer_counts() -> str:
     )
 
 
+def _stored_counts() -> str:
+    tables = [(f"bronze_{t}", f"fx_{t}", True) for t in _REQUIRED]
+    tables += [(f"silver_{t}", f"sv_{t}", False) for t in _REQUIRED]
+    tables += [
+        ("gold_sales_by_product", "sales", False),
+        ("gold_revenue_by_customer", "revenue", False),
+        ("gold_customer_segmentation", "segmentation", False),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, {'count(*)' if landed else 'CAST(NULL AS BIGINT)'} AS rows_written, "
+        f"count(*) AS row_count FROM {source}"
+        for name, source, landed in tables
+    )
+
+
 def _validation() -> str:
     rows = []
     for t in _REQUIRED:
@@ -454,6 +627,20 @@ SELECT 'product_id' AS column_name, lower(any_value(typeof(product_id))) AS colu
        count(*) AS row_count, count(product_id) AS value_count FROM fx_products
 UNION ALL SELECT 'price', lower(any_value(typeof(price))), count(*), count(price) FROM fx_products
 UNION ALL SELECT 'cost', lower(any_value(typeof(cost))), count(*), count(cost) FROM fx_products""",
+    "landing_by_header": "SELECT *, upper(product_name) AS remark FROM fx_products",
+    "landing_of_headers_alone": "\nUNION ALL\n".join(
+        f"SELECT 'silver_{t}' AS table_name, '{check}' AS check_type, count(*) AS total_rows, count(*) AS failed, "
+        f"CAST(1 AS DOUBLE) AS pass_rate FROM fx_{t} WHERE FALSE"
+        for t in _REQUIRED
+        for check, _ in _CHECKS
+    ),
+    "landing_in_latin1": "SELECT customer_id, 'José ' || customer_name AS customer_name FROM fx_customers",
+    "stored_layer_counts": _stored_counts(),
+    "stored_top_products": _PICK_TOP_PRODUCTS.format(where=""),
+    "stored_revenue_histogram": _histogram(),
+    "stored_segmentation": """SELECT segment_type, customer_count, pct_of_total_customers,
+       total_revenue, avg_revenue, avg_orders FROM segmentation""",
+    "stored_monthly_trend": _trend(),
     "dq_completeness_customers": f"""SELECT customer_id, email, {_COMPLETE_CUSTOMERS} AS quality_completeness
 FROM fx_customers""",
     "dq_completeness_orders": f"""SELECT order_id, customer_id, product_id,
@@ -566,6 +753,11 @@ FROM sv_orders GROUP BY 1""",
 FROM ({_pass_summary()})""",
     "layer_row_counts": _layer_counts(),
     "silver_validation": _validation(),
+    "silver_customers_from_text": "SELECT * FROM ts_customers",
+    "silver_products_from_text": "SELECT * FROM ts_products",
+    "silver_orders_from_text": "SELECT * FROM ts_orders",
+    "gold_sales_from_text": "SELECT * FROM text_sales",
+    "key_checks_from_text": _key_checks(),
     "gold_sales_by_product": "SELECT * FROM sales",
     "gold_revenue_by_customer": "SELECT * FROM revenue",
     "gold_customer_segmentation": "SELECT * FROM segmentation",

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from assayline import fixed_values as fixed
 from assayline.operators import checks, metrics
 from assayline.operators.lookup import shared_folder
-from assayline.plans import dashboard, gold, reconcile
+from assayline.plans import dashboard, dimensions, gold, jobs, reconcile
 from assayline.plans.dashboard import DashboardFilters
 from assayline.plans.silver import flagged_tables, marked_tables
 from assayline.samples import star
@@ -21,8 +22,10 @@ from assayline.sources.files import (
     add_audit_columns,
     add_batch_row_count,
     read_csv,
+    remove_folder,
     write_csv,
 )
+from assayline.sources.tables import snapshot
 from assayline.specs import CUSTOMERS, ORDERS, PRODUCTS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +35,40 @@ RUN_ID = "run-2001-08-02"
 RUN_TIMESTAMP = datetime(2001, 8, 2, 6, 0, 0)
 GARBLED = Defect("garbled name", "customer_name", "customer_id % 50 = 9", "'JosÃ© ' || customer_name")
 
+# What a text extract may hold in place of a value: other ways to write it, and what is none.
+CUSTOMER_TEXTS = (
+    Defect("decimal key", "customer_id", "c % 70 = 3", "concat(customer_id, '.0')"),
+    Defect("padded key", "customer_id", "c % 110 = 5", "concat(' ', customer_id)"),
+    Defect("month", "signup_date", "c % 130 = 9", "'1994-05'"),
+)
+PRODUCT_TEXTS = (
+    Defect("padded key", "product_id", "p % 90 = 4", "concat(' ', product_id)"),
+    Defect("decimal key", "product_id", "p % 120 = 6", "concat(product_id, '.0')"),
+    Defect("three digits", "price", "p % 150 = 9", "'12.345'"),
+    Defect("no number", "cost", "p % 210 = 19", "'NaN'"),
+    Defect("out of range", "stock_quantity", "p % 170 = 13", "'1e20'"),
+    Defect("decimal integer", "stock_quantity", "p % 190 = 17", "'7.0'"),
+    Defect("word", "reorder_level", "p % 230 = 23", "'abc'"),
+)
+ORDER_TEXTS = (
+    Defect("decimal key", "order_id", "o % 900 = 7", "concat(order_id, '.0')"),
+    Defect("padded key", "order_id", "o % 1500 = 4", "concat(' ', order_id)"),
+    Defect("word for a key", "order_id", "o % 700 = 17", "'abc'"),
+    Defect("decimal foreign key", "customer_id", "o % 80 = 19", "concat(customer_id, '.0')"),
+    Defect("word for a foreign key", "customer_id", "o % 760 = 23", "'x'"),
+    Defect("padded foreign key", "product_id", "o % 95 = 11", "concat(' ', product_id)"),
+    Defect("year", "order_date", "o % 600 = 47", "'2000'"),
+    Defect("month", "order_date", "o % 610 = 53", "'2000-05'"),
+    Defect("day and more", "order_date", "o % 620 = 59", "'2000-02-03 junk'"),
+    Defect("time of day", "payment_date", "o % 630 = 61", "'2000-02-03T99'"),
+    Defect("out of range", "quantity", "o % 640 = 29", "'1e20'"),
+    Defect("decimal integer", "quantity", "o % 650 = 31", "'3.0'"),
+    Defect("fraction", "quantity", "o % 660 = 37", "'2.5'"),
+    Defect("word", "unit_price", "o % 670 = 67", "'abc'"),
+    Defect("three digits", "total_amount", "o % 680 = 41", "'12.345'"),
+    Defect("no number", "total_amount", "o % 690 = 43", "'NaN'"),
+)
+
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -57,6 +94,18 @@ def _silver(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFram
     return flagged_tables(bronze, AS_OF, wanted)
 
 
+def _text_bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The three sources as an extract lands them, every column text, with odd texts among them."""
+    texts = {"customers": ("c", CUSTOMER_TEXTS), "products": ("p", PRODUCT_TEXTS), "orders": ("o", ORDER_TEXTS)}
+    landed = {}
+    for spec in TABLES:
+        number, odd = texts[spec.name]
+        df = star.BUILDERS[spec.name](spark, folder)
+        text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], F.col(spec.primary_key).alias(number))
+        landed[spec.name] = inject_defects(text, odd).drop(number)
+    return landed
+
+
 def _silver_named(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {f"silver_{name}": df for name, df in _silver(spark, folder).items()}
 
@@ -130,6 +179,119 @@ def probe_column_types(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.column_types(star.products(spark, folder), ["product_id", "price", "cost"])
 
 
+def _kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The rows in a checkpoint of their own, so that what they were read from can be removed."""
+    shared_folder(spark)
+    return df.checkpoint()
+
+
+@contextmanager
+def _landing(spark: SparkSession) -> Iterator[str]:
+    """A folder for extracts in the shared folder, removed afterwards."""
+    path = f"{shared_folder(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        remove_folder(spark, path)
+
+
+@query
+def landing_by_header(spark: SparkSession, folder: str) -> DataFrame:
+    """All products landed from files whose columns are in another order and have one more."""
+    with _landing(spark) as path:
+        products = star.products(spark, folder)
+        shuffled = products.select(*reversed(products.columns), F.upper("product_name").alias("remark"))
+        write_csv(shuffled, path)
+        return _kept(spark, read_csv(spark, path, schema=PRODUCTS.schema))
+
+
+@query
+def landing_of_headers_alone(spark: SparkSession, folder: str) -> DataFrame:
+    """Extracts that hold only headers run through every layer; the report counts no row."""
+    with _landing(spark) as path:
+        landed = {}
+        for name, df in _bronze(spark, folder).items():
+            write_csv(df.filter("false").coalesce(1), f"{path}/{name}")
+            landed[name] = read_csv(spark, f"{path}/{name}")
+        silver = flagged_tables(landed, AS_OF)
+        report = metrics.quality_report({f"silver_{n}": df for n, df in silver.items()})
+        return _kept(spark, report.select("table_name", "check_type", "total_rows", "failed", "pass_rate"))
+
+
+@query
+def landing_in_latin1(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with accents in their names, from ISO-8859-1 files read as such; none is garbled."""
+    with _landing(spark) as path:
+        named = star.customers(spark, folder).withColumn("customer_name", F.concat(F.lit("José "), "customer_name"))
+        write_csv(named, path, encoding="ISO-8859-1")
+        landed = read_csv(spark, path, schema=CUSTOMERS.schema, encoding="ISO-8859-1")
+        garbled = reconcile.mojibake_rows(landed, "customer_name")
+        return _kept(spark, landed.select("customer_id", "customer_name").exceptAll(garbled.select("customer_id", "customer_name")))
+
+
+# ---- stored layers -----------------------------------------------------------------------------
+
+
+@contextmanager
+def _stored_layers(spark: SparkSession, folder: str) -> Iterator[list[jobs.JobOutcome]]:
+    """All three layers run from CSV extracts into a database of their own, dropped afterwards."""
+    database, former = f"layers_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        with _landing(spark) as path:
+            for spec in TABLES:
+                write_csv(star.BUILDERS[spec.name](spark, folder), f"{path}/{spec.source_file}")
+            landed = jobs.run_bronze(spark, path, run_timestamp=RUN_TIMESTAMP)
+        jobs.run_silver(spark, AS_OF)
+        jobs.run_gold(spark, AS_OF)
+        yield landed
+    finally:
+        spark.catalog.setCurrentDatabase(former)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+@query
+def stored_layer_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows reported by the writes of Bronze, and rows read back from every stored table."""
+    with _stored_layers(spark, folder) as landed:
+        written = {o.table_name: o.row_count for o in landed}
+        names = [*written, *[s.silver for s in TABLES], *[j.table_name for j in jobs.GOLD_JOBS]]
+        counts = [
+            spark.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(n).alias("table_name"), F.lit(written.get(n)).cast("long").alias("rows_written"), "row_count"
+            )
+            for n in names
+        ]
+        return _kept(spark, metrics.union_all(counts))
+
+
+@query
+def stored_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    with _stored_layers(spark, folder):
+        return _kept(spark, dashboard.top_products(spark.table("gold_sales_by_product")))
+
+
+@query
+def stored_revenue_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    with _stored_layers(spark, folder):
+        return _kept(spark, dashboard.revenue_histogram(spark.table("gold_revenue_by_customer")))
+
+
+@query
+def stored_segmentation(spark: SparkSession, folder: str) -> DataFrame:
+    with _stored_layers(spark, folder):
+        return _kept(spark, dashboard.segmentation_breakdown(spark.table("gold_customer_segmentation")))
+
+
+@query
+def stored_monthly_trend(spark: SparkSession, folder: str) -> DataFrame:
+    """From one snapshot of the stored Silver tables."""
+    with _stored_layers(spark, folder):
+        silver = snapshot(spark, [s.silver for s in TABLES])
+        return _kept(spark, dashboard.monthly_trend(silver["silver_orders"]))
+
+
 # ---- completeness ------------------------------------------------------------------------------
 
 
@@ -424,6 +586,62 @@ def dq_first_failure(spark: SparkSession, folder: str) -> DataFrame:
     return orders.select("order_id", checks.first_failure_code(orders).alias("quality_code"))
 
 
+@query
+def silver_orders_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed as text: what its declared type cannot keep fails by name, the rest is unchanged."""
+    return flagged_tables(_text_bronze(spark, folder), AS_OF, [ORDERS])["orders"]
+
+
+@query
+def silver_products_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    return flagged_tables(_text_bronze(spark, folder), AS_OF, [PRODUCTS])["products"]
+
+
+@query
+def silver_customers_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    return flagged_tables(_text_bronze(spark, folder), AS_OF, [CUSTOMERS])["customers"]
+
+
+@query
+def gold_sales_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    silver = flagged_tables(_text_bronze(spark, folder), AS_OF, [PRODUCTS, ORDERS])
+    return gold.sales_by_product(silver["orders"], silver["products"])
+
+
+@query
+def key_checks_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with duplicate and orphaned keys as Silver, the single dimensions and the inventory see them."""
+    bronze = _text_bronze(spark, folder)
+    found = ("key_check", "row_count")
+    marked = marked_tables(bronze, AS_OF)
+    parts = []
+    for spec in TABLES:
+        labels = {checks.DUPLICATE_MARKER: f"DUPLICATE {spec.primary_key}"}
+        labels |= {checks.orphan_marker(fk.column): f"ORPHAN {fk.column}" for fk in spec.foreign_keys}
+        counted = marked[spec.name].agg(*[F.count_if(F.col(m)).alias(m) for m in labels])
+        rows = [{found[0]: F.lit(label), found[1]: F.col(m)} for m, label in labels.items()]
+        parts.append(metrics.rows_of(counted, rows).select(F.lit("silver").alias("seen_by"), *found))
+    unique = dimensions.uniqueness(bronze)[1]
+    parts.append(
+        unique.select(
+            F.lit("dimensions").alias("seen_by"),
+            F.concat(F.lit("DUPLICATE "), "field_name").alias(found[0]),
+            F.col("duplicate_rows").alias(found[1]),
+        )
+    )
+    orphans = dimensions.referential_integrity(bronze)[1]
+    parts.append(
+        orphans.select(
+            F.lit("dimensions").alias("seen_by"),
+            F.concat(F.lit("ORPHAN "), F.replace("check_name", F.lit(" referential"), F.lit(""))).alias(found[0]),
+            F.col("orphan_rows").alias(found[1]),
+        )
+    )
+    listed = metrics.defect_inventory(bronze, TABLES).filter("defect LIKE 'DUPLICATE %' OR defect LIKE 'ORPHAN %'")
+    parts.append(listed.select(F.lit("inventory").alias("seen_by"), F.col("defect").alias(found[0]), found[1]))
+    return metrics.union_all(parts)
+
+
 # ---- reports -----------------------------------------------------------------------------------
 
 
@@ -529,45 +747,30 @@ def gold_weekly_trend(spark: SparkSession, folder: str) -> DataFrame:
     return gold.weekly_trend(_orders(spark, folder))
 
 
+def _gold_totals(spark: SparkSession, folder: str) -> DataFrame:
+    silver = _silver(spark, folder)
+    parents = [
+        reconcile.sold_products(silver["products"]),
+        reconcile.buying_customers(silver["customers"], AS_OF),
+    ]
+    return reconcile.gold_totals(silver["orders"], parents)
+
+
 @query
 def gold_key_null_check(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _silver(spark, folder)
-    revenue = gold.revenue_by_customer(silver["orders"], silver["customers"], AS_OF)
-    return metrics.union_all(
-        [
-            metrics.key_null_check(
-                gold.sales_by_product(silver["orders"], silver["products"]),
-                "gold_sales_by_product",
-                ["product_id", "product_name", "category", "total_revenue"],
-            ),
-            metrics.key_null_check(
-                revenue,
-                "gold_revenue_by_customer",
-                ["customer_id", "customer_name", "total_revenue"],
-            ),
-            metrics.key_null_check(
-                gold.customer_segmentation(revenue),
-                "gold_customer_segmentation",
-                ["segment_type", "customer_count", "total_revenue"],
-            ),
-        ]
-    )
+    return reconcile.key_nulls_of_totals(_gold_totals(spark, folder))
 
 
 @query
 def gold_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _silver(spark, folder)
-    return reconcile.revenue_reconciliation(
-        silver["orders"],
-        gold.sales_by_product(silver["orders"], silver["products"]),
-        gold.revenue_by_customer(silver["orders"], silver["customers"], AS_OF),
-    )
+    return reconcile.reconciled_totals(_gold_totals(spark, folder))
 
 
 @query
 def segment_total_check(spark: SparkSession, folder: str) -> DataFrame:
-    revenue = _revenue(spark, folder)
-    return reconcile.segment_total_check(gold.customer_segmentation(revenue), revenue)
+    silver = _silver(spark, folder, "orders", "customers")
+    parents = [reconcile.buying_customers(silver["customers"], AS_OF)]
+    return reconcile.segment_total_of(reconcile.gold_totals(silver["orders"], parents))
 
 
 @query
