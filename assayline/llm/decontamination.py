@@ -1,27 +1,30 @@
 """Documents that hold passages of a benchmark (operator 1), in DataFrame functions alone.
 
-An item and a window of as many words match if their weighted shingle similarity reaches the
-threshold and their fingerprints lie within the radius, which by default any do. Two bags of m shingles reach similarity t only if
-they share 2t/(1+t) of m, so of every item it is enough to look up so many shingles that not all of
-them can be missing. Every window that contains such a shingle is weighed, wherever the shingle
-stands in it, by the places at which it has any shingle of the item; those with too few cannot match.
-A document shorter than the item has fewer shingles than it and need share only t of m: in such
-documents more shingles are looked up.
+A window of a document is as long as an item. It is formed where it shares enough shingles with the
+item to be a match, fingerprinted by SimHash, looked up among the items' fingerprints by multi-index
+Hamming blocks, and verified: the fingerprints lie within the radius and the weighted shingle
+similarity reaches the threshold.
+
+How many shingles a window shares, counted as often as both have them, is known for all windows of a
+document from one sweep. The shingle at place j counts in a window from s on unless so many equal ones
+lie between s and j as the item has, so it counts for one interval of s. Adding up where intervals
+begin and end weighs every start once.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayline.llm.frames import settled, text_key, texts
+from assayline.llm.frames import settled, text_key, texts, unused
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-RADIUS = 64  # all: the similarity decides; a repeated shingle alone may turn any number of bits
-BROADCAST_ROWS = 500_000  # looked-up shingles, 32 bytes each, that are sent to every executor
+RADIUS = 23  # of 64 bits; README states what it loses at the threshold
+BLOCKS = 8  # parts of a fingerprint that are looked up
+BROADCAST_ROWS = 500_000  # shingles, windows or index entries, under 100 bytes each, that are sent to every executor
 ROW = ["doc_id", "_a", "_b"]
 
 
@@ -49,64 +52,23 @@ def _printed(df: DataFrame, shingles: str, name: str) -> DataFrame:
     return hashed.withColumn(name, bits).drop("_hashes")
 
 
-def _similarity(one: str, other: str) -> Column:
-    """Weighted Jaccard: shingles count as often as they occur."""
-
-    def times(shingles: str, wanted: Column) -> Column:
-        return F.size(F.filter(shingles, lambda s: s == wanted))
-
-    shared = F.aggregate(
-        F.array_distinct(one),
-        F.lit(0),
-        lambda total, s: total + F.least(times(one, s), times(other, s)),
-    )
-    return shared / (F.size(one) + F.size(other) - shared)
-
-
 def _items(items: DataFrame, size: int) -> DataFrame:
-    """The items with words: their number, shingles, the hashes of these, and fingerprint."""
-    worded = items.select(F.col("item_id").cast("long").alias("item_id"), words_of("text").alias("item_words"))
-    worded = worded.filter(F.size("item_words") > 0)
-    worded = worded.withColumn("length", F.size("item_words"))
+    """The items with words: their number, words, words of a shingle, shingles and fingerprint."""
+    worded = items.select(F.col("item_id").cast("long").alias("item_id"), words_of("text").alias("_words"))
+    worded = worded.filter(F.size("_words") > 0)
+    worded = worded.withColumn("length", F.size("_words"))
     worded = worded.withColumn("item", F.monotonically_increasing_id())
     worded = worded.withColumn("width", F.least(F.lit(size), "length"))
-    shingled = worded.withColumn("item_shingles", _shingles("item_words", size)).drop("item_words")
-    hashed = shingled.withColumn("item_hashes", F.transform(F.array_distinct("item_shingles"), lambda s: F.xxhash64(s)))
-    return _printed(hashed, "item_shingles", "item_print")
+    shingled = worded.withColumn("_shingles", _shingles("_words", size)).drop("_words")
+    return _printed(shingled, "_shingles", "item_print").withColumn("m", F.size("_shingles"))
 
 
-def _missing(share: float, count: Column) -> Column:
-    """How many of ``count`` shingles may be missing where a match has at least ``share`` of them."""
-    return F.floor(count * (1 - share) + 1e-9).cast("int")
-
-
-def _lookups(items: DataFrame, similarity: float) -> DataFrame:
-    """The shingles looked up: hash, words in it, the item, and the bound on the document's words.
-
-    The first distinct shingles by hash are taken until those left out weigh too much to be all that
-    is shared. ``shorter`` is NULL for those looked up in every document, and the words of the item
-    for those looked up only in documents of fewer words.
-    """
-    placed = items.select(
-        "item",
-        "width",
-        "length",
-        _missing(2 * similarity / (1 + similarity), F.size("item_shingles")).alias("missing"),
-        _missing(similarity, F.size("item_shingles")).alias("missing_shorter"),
-        F.expr(
-            "sort_array(transform(array_distinct(item_shingles), s -> named_struct("
-            "'hash', xxhash64(s), 'times', size(filter(item_shingles, x -> x = s)))))"
-        ).alias("ranked"),
+def _item_shingles(items: DataFrame) -> DataFrame:
+    """One row for each distinct shingle of an item, by hash, with its number of occurrences."""
+    each = items.select("item", "width", "length", "m", F.explode("_shingles").alias("one"))
+    return each.groupBy("item", "width", "length", "m", F.xxhash64("one").alias("hash")).agg(
+        F.count(F.lit(1)).cast("int").alias("times")
     )
-    # A shingle is taken while those before it could all be missing.
-    taken = F.expr(
-        "filter(transform(ranked, (r, i) -> named_struct('hash', r.hash, 'before',"
-        " aggregate(slice(ranked, 1, i), 0, (n, q) -> n + q.times))), r -> r.before <= missing_shorter)"
-    )
-    chosen = settled(placed.withColumn("chosen", taken).drop("ranked"))
-    each = chosen.select("item", "width", "length", "missing", F.explode("chosen").alias("one"))
-    shorter = F.when(F.col("one.before") > F.col("missing"), F.col("length")).alias("shorter")
-    return each.select("item", "width", F.col("one.hash").alias("hash"), shorter).distinct()
 
 
 def _document_hash(width: int) -> Column:
@@ -114,53 +76,81 @@ def _document_hash(width: int) -> Column:
     return F.xxhash64(F.concat_ws(" ", *[F.get("words", F.col("i") + k) for k in range(width)]))
 
 
-def _candidates(
-    docs: DataFrame, items: DataFrame, lookups: DataFrame, widths: list[int], similarity: float, small: bool
-) -> DataFrame:
-    """Distinct windows and the item each may match: the row, first word, and the words as a text."""
-    # The words come out of a generator, so that no later filter repeats the work of splitting.
-    worded = docs.select("doc_id", *text_key(), F.explode(F.array(words_of("text"))).alias("words"))
-    carried = [*ROW, "words"] if small else ROW
-    found = []
+def _worded(docs: DataFrame) -> DataFrame:
+    """The words come out of a generator, so that no later filter repeats the work of splitting."""
+    return docs.select("doc_id", *text_key(), F.explode(F.array(words_of("text"))).alias("words"))
+
+
+def _windows(docs: DataFrame, shingles: DataFrame, widths: list[int], similarity: float, small: bool) -> DataFrame:
+    """Windows whose shared shingles suffice: row, item, first word, number of words, similarity.
+
+    Of neighbouring windows that share equally much the first stands for all.
+    """
+    worded = _worded(docs)
+    met = []
     for width in widths:
         firsts = F.when(F.size("words") >= width, F.sequence(F.lit(0), F.size("words") - width))
         places = worded.select(*ROW, "words", F.explode(firsts).alias("i"))
-        hashed = places.select(*carried, "i", F.size("words").alias("n"), _document_hash(width).alias("hash"))
-        own = lookups.filter(F.col("width") == width).drop("width")
-        met = hashed.join(F.broadcast(own) if small else own, "hash")
-        found.append(met.filter(F.col("shorter").isNull() | (F.col("n") < F.col("shorter"))).drop("hash", "n", "shorter"))
-    hits = reduce(DataFrame.unionByName, found)
-    if not small:
-        hits = hits.groupBy(*ROW).agg(F.collect_set(F.struct("item", "i")).alias("_hits"))
-        hits = hits.toDF("_id", "_a2", "_b2", "_hits")
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_a2")) & (F.col("_b") == F.col("_b2"))
-        hits = worded.join(hits, same).select(*ROW, "words", F.inline("_hits"))
-    listed = items.select("item", "length", "width", "item_hashes", F.size("item_shingles").alias("m"))
-    hits = hits.join(F.broadcast(listed) if small else listed, "item")
-    # All windows that contain the shingle: their first words, and the words that they cover.
-    spare = F.size("words") - F.col("length")
-    hits = hits.withColumn("low", F.greatest(F.lit(0), F.least(F.col("i") + F.col("width") - F.col("length"), spare)))
-    hits = hits.withColumn("high", F.greatest(F.lit(0), F.least("i", spare)))
-    covered = F.slice("words", F.col("low") + 1, F.col("high") - F.col("low") + F.col("length"))
-    names = [*ROW, "item", "length", "width", "item_hashes", "m", "low", "high"]
-    hits = hits.select(*names, F.explode(F.array(covered)).alias("near"))
-    marks = F.transform(
-        F.sequence(F.lit(0), F.size("near") - F.col("width")),
-        lambda j: F.array_contains(
-            F.col("item_hashes"), F.xxhash64(F.array_join(F.slice("near", j + 1, F.col("width")), " "))
-        ),
+        hashed = places.select(*ROW, "i", F.size("words").alias("n"), _document_hash(width).alias("hash"))
+        own = shingles.filter(F.col("width") == width)
+        met.append(hashed.join(F.broadcast(own) if small else own, "hash"))
+    held = F.least("length", "n") - F.col("width") + 1
+    marks = reduce(DataFrame.unionByName, met).withColumns({"held": held, "spare": F.greatest(F.lit(0), F.col("n") - F.col("length"))})
+    pair = [*ROW, "item"]
+    # Equal rows of the documents would give every place twice.
+    placed = marks.repartition(*pair).groupBy(*pair, "hash", "times", "m", "held", "spare", F.least("length", "n").alias("n_words"))
+    placed = placed.agg(F.sort_array(F.collect_set("i")).alias("at"))
+    shifted = F.slice(F.concat(F.array_repeat(F.lit(-1), F.col("times")), "at"), 1, F.size("at"))
+    each = placed.select(*pair, "m", "held", "spare", "n_words", F.inline(F.arrays_zip(F.col("at"), shifted.alias("before"))))
+    each = each.toDF(*pair, "m", "held", "spare", "n_words", "at", "before")
+    first = F.greatest(F.lit(0), F.col("at") - F.col("held") + 1, F.col("before") + 1)
+    spans = each.withColumn("first", first).withColumn("last", F.least("at", "spare")).filter("first <= last")
+    ends = F.array(
+        F.struct(F.col("first").alias("start"), F.lit(1).alias("step")),
+        F.struct((F.col("last") + 1).alias("start"), F.lit(-1).alias("step")),
     )
-    hits = hits.select(*names, "near", F.explode(F.array(marks)).alias("marks"))
-    held = F.least("length", F.size("near")) - F.col("width") + 1
-    needed = F.ceil((held + F.col("m")) * similarity / (1 + similarity) - 1e-9)
-    hits = hits.withColumn("held", held).withColumn("needed", needed)
-    tried = F.filter(
-        F.sequence(F.lit(0), F.col("high") - F.col("low")),
-        lambda s: F.size(F.filter(F.slice("marks", s + 1, F.col("held")), lambda mark: mark)) >= F.col("needed"),
+    item = ["m", "held", "spare", "n_words"]
+    steps = spans.select(*pair, *item, F.inline(ends)).groupBy(*pair, *item, "start").agg(F.sum("step").alias("step"))
+    sweep = Window.partitionBy(*pair).orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shared = steps.withColumn("shared", F.sum("step").over(sweep)).filter(F.col("start") <= F.col("spare"))
+    value = F.col("shared") / (F.col("held") + F.col("m") - F.col("shared"))
+    return shared.select(*pair, "start", "n_words", value.alias("similarity")).filter(F.col("similarity") >= similarity)
+
+
+def _window_prints(docs: DataFrame, windows: DataFrame, words: int, broadcast_rows: int) -> DataFrame:
+    """The windows with their fingerprints; the texts that have any are read again."""
+    listed = windows.groupBy(*ROW).agg(F.collect_list(F.struct("item", "start", "n_words", "similarity")).alias("_found"))
+    listed = listed.toDF("_id", "_a2", "_b2", "_found")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_a2")) & (F.col("_b") == F.col("_b2"))
+    small = windows.count() <= broadcast_rows
+    near = _worded(docs).join(F.broadcast(listed) if small else listed, same)
+    near = near.select(*ROW, "words", F.inline("_found"))
+    cut = F.slice("words", F.col("start") + 1, F.col("n_words"))
+    columns = [*ROW, "item", "start", "n_words", "similarity"]
+    cut = near.select(*columns, F.explode(F.array(cut)).alias("window"))
+    shingled = cut.select(*columns, F.explode(F.array(_shingles("window", words))).alias("_shingles"))
+    # Equal rows of the documents hold equal windows.
+    return _printed(shingled, "_shingles", "print").drop("_shingles").dropDuplicates([*ROW, "item", "start"])
+
+
+def _block(fingerprint: str, number: Column) -> Column:
+    width = 64 // BLOCKS
+    moved = F.call_function("shiftright", F.col(fingerprint), number * width)
+    return moved.bitwiseAND(F.lit(2**width - 1)).cast("int")
+
+
+def _index(items: DataFrame, radius: int) -> DataFrame:
+    """Every value that a block of an item's fingerprint may have within the radius.
+
+    Two fingerprints that differ in at most ``radius`` bits differ in at most ``radius // BLOCKS`` of
+    them in some block, so that block of the one lies in the ball around that block of the other.
+    """
+    width = 64 // BLOCKS
+    ball = F.array(*[F.lit(x) for x in range(2**width) if bin(x).count("1") <= radius // BLOCKS])
+    blocks = items.select("item", "item_print", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
+    return blocks.select("item", "block", F.explode(ball).alias("mask"), _block("item_print", F.col("block")).alias("own")).select(
+        "item", "block", F.col("own").bitwiseXOR(F.col("mask")).alias("value")
     )
-    starts = hits.select(*ROW, "item", "length", "low", "near", F.explode(tried).alias("at"))
-    cut = F.array_join(F.slice("near", F.col("at") + 1, F.col("length")), " ")
-    return starts.select(*ROW, "item", (F.col("low") + F.col("at")).alias("start"), cut.alias("window")).distinct()
 
 
 def leaks(
@@ -182,25 +172,23 @@ def leaks(
     """
     read = texts(docs)
     listed = settled(_items(items, words))
-    lookups = settled(_lookups(listed, similarity))
-    size = lookups.agg(F.count(F.lit(1)).alias("n"), F.collect_set("width").alias("widths")).first()
+    shingles = settled(_item_shingles(listed))
+    size = shingles.agg(F.count(F.lit(1)).alias("n"), F.collect_set("width").alias("widths")).first()
     small = size["n"] <= broadcast_rows
-    windows = settled(_candidates(read, listed, lookups, sorted(size["widths"]) or [words], similarity, small))
-    targets = listed.select("item", "length", "item_id", "item_print", "item_shingles")
-    pairs = windows.select("window", "item").distinct().join(targets, "item")
-    worded = pairs.withColumn("_words", F.explode(F.array(F.split("window", " "))))
-    shingled = worded.withColumn("shingles", F.explode(F.array(_shingles("_words", words)))).drop("_words")
-    alike = shingled.withColumn("similarity", F.explode(F.array(_similarity("shingles", "item_shingles"))))
-    printed = _printed(alike.filter(F.col("similarity") >= similarity), "shingles", "print")
-    verified = (
-        printed.withColumn("distance", F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))).cast("int"))
-        .filter(F.col("distance") <= radius)
-        .select("length", "window", "item", "item_id", "distance", "similarity")
-    )
+    windows = settled(_windows(read, shingles, sorted(size["widths"]) or [words], similarity, small))
+    printed = settled(_window_prints(read, windows, words, broadcast_rows))
+    index = settled(_index(listed, radius))
+    few = index.count() <= broadcast_rows
+    blocks = printed.select("*", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block"))
+    looked_up = blocks.withColumn("value", _block("print", F.col("block")))
+    met = looked_up.join(F.broadcast(index) if few else index, ["item", "block", "value"]).drop("block", "value")
+    targets = listed.select("item", "item_id", "item_print")
+    distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))).cast("int")
+    verified = met.distinct().join(F.broadcast(targets) if few else targets, "item").withColumn("distance", distance)
     best = F.max_by(
-        F.struct("start", "length", "distance", "similarity"), F.struct("similarity", -F.col("start"))
+        F.struct("start", F.col("n_words").alias("length"), "distance", "similarity"), F.struct("similarity", -F.col("start"))
     ).alias("best")
-    matched = windows.join(verified, ["item", "window"]).groupBy(*ROW, "item_id").agg(best)
+    matched = verified.filter(F.col("distance") <= radius).groupBy(*ROW, "item_id").agg(best)
     return matched.select(
         "doc_id",
         "item_id",
@@ -214,14 +202,11 @@ def leaks(
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, **parameters) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    """The rows of ``docs`` that hold no benchmark item, with all their columns, whatever their names."""
     found = leaks(docs, items, **parameters).select("doc_id", "_a", "_b").distinct()
-    found = found.toDF("_leak_id", "_leak_a", "_leak_b")
+    found = found.toDF(*unused(docs, "leak_id", "leak_a", "leak_b"))
+    leak_id, leak_a, leak_b = (F.col(c) for c in found.columns)
     text = F.col("text").cast("string")
     keys = [F.xxhash64(text, text.isNull()), F.xxhash64(F.lit(7), text, text.isNull())]
-    same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_leak_id"))
-        & (keys[0] == F.col("_leak_a"))
-        & (keys[1] == F.col("_leak_b"))
-    )
+    same = F.col("doc_id").cast("long").eqNullSafe(leak_id) & (keys[0] == leak_a) & (keys[1] == leak_b)
     return docs.join(found, same, "left_anti")

@@ -47,6 +47,15 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of the frame has, in any case: the given ones behind enough underscores."""
+    taken = {c.lower() for c in df.columns}
+    prefix = "_"
+    while any(f"{prefix}{name}".lower() in taken for name in names):
+        prefix += "_"
+    return [f"{prefix}{name}" for name in names]
+
+
 def text_key():
     """Two hashes of a text, which stand for it in join keys; NULL has a key of its own."""
     return [

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assayline.llm.frames import settled, text_key, texts
 from assayline.llm.license_texts import TEXTS
 
 SIMILARITY = 0.8
+CHUNK_WORDS = 512  # words of a text that one row holds, beside what windows reach beyond
 BROADCAST_ROWS = 100_000  # (template, size) pairs that are sent to every executor
 
 # Short notices by which texts name their licence.
@@ -117,6 +118,51 @@ def license_lines(docs: DataFrame, notices: DataFrame, similarity: float = SIMIL
     )
 
 
+def _chunks(docs: DataFrame, reach: int) -> DataFrame:
+    """Texts in parts of ``CHUNK_WORDS`` words, with as many words before and behind as a window reaches.
+
+    ``part`` holds words and their lines from word ``off`` of the text on, ``base`` is the first word
+    of the part's own, ``n`` counts the words of the text. No row holds more than a part.
+    """
+    read = texts(docs).select("doc_id", *text_key(), F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
+    worded = F.transform(
+        "lines",
+        lambda line, number: F.transform(
+            F.filter(F.split(normalised(line), " "), lambda w: w != ""),
+            lambda w: F.struct(w.alias("word"), number.cast("int").alias("line")),
+        ),
+    )
+    # The words come out of a generator, so that no later filter repeats the work of splitting.
+    held = read.select("doc_id", "_a", "_b", F.explode(F.array(F.flatten(worded))).alias("held"))
+    firsts = F.when(F.size("held") > 1, F.sequence(F.lit(0), F.size("held") - 2, F.lit(CHUNK_WORDS)))
+    based = held.select("doc_id", "_a", "_b", "held", F.size("held").alias("n"), F.explode(firsts).alias("base"))
+    off = F.greatest(F.lit(0), F.col("base") - reach)
+    part = F.slice("held", off + 1, F.col("base") - off + CHUNK_WORDS + reach)
+    return based.select("doc_id", "_a", "_b", "n", "base", off.alias("off"), F.explode(F.array(part)).alias("part"))
+
+
+def _without_overlaps(windows: DataFrame, row: list[str]) -> DataFrame:
+    """Of windows ``one`` that overlap within a row the least, by the order of its fields, again and again.
+
+    A row's windows are cut where none reaches on, and each stretch takes them best first, leaving
+    out what overlaps one taken before.
+    """
+    placed = Window.partitionBy(*row).orderBy("one.start")
+    reached = F.max("one.behind").over(placed.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.when(F.col("one.start") < reached, 0).otherwise(1)
+    cut = windows.distinct().withColumn("_apart", apart)
+    cut = cut.withColumn("_stretch", F.sum("_apart").over(placed.rowsBetween(Window.unboundedPreceding, 0)))
+    stretches = cut.groupBy(*row, "_stretch").agg(F.sort_array(F.collect_list("one")).alias("every"))
+    taken = F.aggregate(
+        "every",
+        F.slice("every", 1, 0),
+        lambda held, w: F.when(
+            F.exists(held, lambda o: (o["start"] < w["behind"]) & (w["start"] < o["behind"])), held
+        ).otherwise(F.concat(held, F.array(w))),
+    )
+    return stretches.select(*row, F.explode(taken).alias("one"))
+
+
 def license_passages(
     docs: DataFrame, notices: DataFrame, similarity: float = SIMILARITY, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -126,9 +172,11 @@ def license_passages(
     the last. A text is normalised as a whole; a template of k words is compared with windows of k
     words. To reach the similarity t a window must share t / (2 - t) of the template's m bigrams, so
     windows are formed only around the longest bigrams, one more than may be missing, and weighed by
-    the places at which they have any. Of windows that overlap the most similar counts, then the
-    longest, the smallest license_id and the first. NULL and empty texts, and texts shorter than a
-    template, have no window. Equal rows count once; rows without doc_id match like others.
+    the places at which they have any. Windows are taken best first, by similarity, then length,
+    license_id and place, and one that overlaps another already taken is left out. NULL and empty
+    texts, and texts shorter than a template, have no window. A text of any length is searched in
+    parts that overlap by the longest template, so no row grows with the text. Equal rows count once;
+    rows without doc_id match like others.
     """
     row = ["doc_id", "_a", "_b"]
     listed = notices.select("license_id", F.split(normalised(F.col("text")), " ").alias("words"))
@@ -144,83 +192,72 @@ def license_passages(
     lookups = listed.select("item", "length", F.explode(chosen).alias("one"))
     lookups = settled(lookups.select("item", F.col("length").alias("least"), F.xxhash64("one.pair").alias("hash")))
     small = lookups.count() <= broadcast_rows
-    # The words come out of a generator, so that no later filter repeats the work of splitting.
-    read = texts(docs).select("doc_id", *text_key(), F.coalesce("text", F.lit("")).alias("text"))
-    worded = read.select(*row, "text", F.explode(F.array(F.split(normalised(F.col("text")), " "))).alias("words"))
-    carried = [*row, "text", "words"] if small else row
-    starts = F.when(F.size("words") > 1, F.sequence(F.lit(0), F.size("words") - 2))
-    places = worded.select(*row, "text", "words", F.explode(starts).alias("i"))
-    pair = F.concat_ws(" ", F.get("words", F.col("i")), F.get("words", F.col("i") + 1))
-    hashed = places.select(*carried, "i", F.size("words").alias("n"), F.xxhash64(pair).alias("hash"))
+    reach = listed.agg(F.max("length")).first()[0] or 0
+    chunks = _chunks(docs, reach)
+    own = F.sequence(F.lit(0), F.least(F.lit(CHUNK_WORDS), F.col("n") - 1 - F.col("base")) - 1)
+    places = chunks.select(*row, "n", "base", "off", "part", F.explode(own).alias("i"))
+    at = F.col("base") - F.col("off") + F.col("i")
+    pair = F.concat_ws(" ", F.get("part", at)["word"], F.get("part", at + 1)["word"])
+    held = [*row, "n", "base", "off", "part"] if small else [*row, "n", "base"]
+    hashed = places.select(*held, (F.col("base") + F.col("i")).alias("i"), F.xxhash64(pair).alias("hash"))
     hits = hashed.join(F.broadcast(lookups) if small else lookups, "hash").filter(F.col("n") >= F.col("least"))
-    hits = hits.drop("hash", "n", "least")
+    hits = hits.drop("hash", "least")
     if not small:
-        hits = hits.groupBy(*row).agg(F.collect_set(F.struct("item", "i")).alias("_hits"))
-        hits = hits.toDF("_id", "_a2", "_b2", "_hits")
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_a") == F.col("_a2")) & (F.col("_b") == F.col("_b2"))
-        hits = worded.join(hits, same).select(*row, "text", "words", F.inline("_hits"))
+        hits = hits.groupBy(*row, "base").agg(F.collect_set(F.struct("item", "i")).alias("_hits"))
+        hits = hits.toDF("_id", "_a2", "_b2", "_base2", "_hits")
+        same = (
+            F.col("doc_id").eqNullSafe(F.col("_id"))
+            & (F.col("_a") == F.col("_a2"))
+            & (F.col("_b") == F.col("_b2"))
+            & (F.col("base") == F.col("_base2"))
+        )
+        hits = chunks.join(hits, same).select(*row, "n", "base", "off", "part", F.inline("_hits"))
     hits = hits.join(F.broadcast(listed) if small else listed, "item")
     # All windows that contain the bigram: their first words, and the bigrams that they cover.
     hits = hits.withColumn("low", F.greatest(F.lit(0), F.col("i") + 2 - F.col("length")))
-    hits = hits.withColumn("high", F.least("i", F.size("words") - F.col("length")))
-    covered = F.transform(F.sequence("low", F.col("high") + F.col("length") - 2), lambda j: F.array_join(F.slice("words", j + 1, 2), " "))
-    names = [*row, "text", "license_id", "length", "notice", "needed", "low", "high"]
-    hits = hits.select(*names, F.explode(F.array(covered)).alias("pairs"))
-    marks = F.transform("pairs", lambda p: F.array_contains("notice", p))
-    hits = hits.select(*names, "pairs", F.explode(F.array(marks)).alias("marks"))
-    hits = hits.filter(F.size(F.filter("marks", lambda mark: mark)) >= F.col("needed"))
+    hits = hits.withColumn("high", F.least("i", F.col("n") - F.col("length")))
+    span = F.slice("part", F.col("low") - F.col("off") + 1, F.col("high") - F.col("low") + F.col("length"))
+    names = [*row, "license_id", "length", "notice", "needed", "low"]
+    hits = hits.select(*names, (F.col("high") - F.col("low")).alias("more"), F.explode(F.array(span)).alias("span"))
+    covered = F.transform(
+        F.sequence(F.lit(0), F.col("more") + F.col("length") - 2),
+        lambda j: F.concat_ws(" ", F.get("span", j)["word"], F.get("span", j + 1)["word"]),
+    )
+    hits = hits.select(*names, "more", F.col("span.line").alias("lines"), F.explode(F.array(covered)).alias("pairs"))
+    # Marks before each place, so that every first word is weighed by one subtraction.
+    counted = F.aggregate(
+        F.transform("pairs", lambda p: F.array_contains("notice", p).cast("int")),
+        F.array(F.lit(0)),
+        lambda sums, mark: F.concat(sums, F.array(F.element_at(sums, -1) + mark)),
+    )
+    hits = hits.select(*names, "more", "lines", "pairs", F.explode(F.array(counted)).alias("marks"))
     tried = F.filter(
-        F.sequence(F.lit(0), F.col("high") - F.col("low")),
-        lambda s: F.size(F.filter(F.slice("marks", s + 1, F.col("length") - 1), lambda mark: mark)) >= F.col("needed"),
+        F.sequence(F.lit(0), F.col("more")),
+        lambda s: F.get("marks", s + F.col("length") - 1) - F.get("marks", s) >= F.col("needed"),
     )
-    windows = hits.select(*names, "pairs", F.explode(tried).alias("at"))
+    windows = hits.select(*names, "lines", "pairs", F.explode(tried).alias("at"))
     own = F.array_distinct(F.slice("pairs", F.col("at") + 1, F.col("length") - 1))
-    windows = windows.select(*names, "at", F.explode(F.array(own)).alias("own"))
+    windows = windows.select(*names, "lines", "at", F.explode(F.array(own)).alias("own"))
     dice = 2.0 * F.size(F.array_intersect("own", "notice")) / (F.size("own") + F.size("notice"))
     windows = windows.withColumn("dice", dice).filter(F.col("dice") >= similarity)
     start = F.col("low") + F.col("at")
-
-    def line_of(word: Column) -> Column:
-        """The lines that end before a word of the text."""
-        counts = F.transform(
-            F.split("text", "\n"),
-            lambda line: F.size(F.filter(F.split(normalised(line), " "), lambda w: w != "")),
-        )
-        begun = F.struct(F.lit(0).alias("words"), F.lit(0).alias("line"))
-        passed = F.aggregate(
-            counts,
-            begun,
-            lambda held, count: F.when(
-                held["words"] + count <= word,
-                F.struct((held["words"] + count).alias("words"), (held["line"] + 1).alias("line")),
-            ).otherwise(F.struct(F.lit(1 << 30).alias("words"), held["line"].alias("line"))),
-        )
-        return passed["line"].cast("long")
-
     one = F.struct(
         (-F.col("dice")).alias("less"),
         (-F.col("length")).alias("shorter"),
         "license_id",
         start.alias("start"),
         (start + F.col("length")).alias("behind"),
+        F.get("lines", F.col("at")).cast("long").alias("line"),
+        F.get("lines", F.col("at") + F.col("length") - 1).cast("long").alias("last"),
     ).alias("one")
-    found = windows.select(*row, "text", one)
-    found = found.groupBy(*row).agg(F.collect_set("one").alias("every"), F.first("text").alias("text"))
-    best = F.filter(
-        "every",
-        lambda w: ~F.exists(
-            "every", lambda o: (o["start"] < w["behind"]) & (w["start"] < o["behind"]) & (o < w)
-        ),
-    )
-    found = found.select(*row, "text", F.explode(best).alias("one"))
-    return found.select(
+    return _without_overlaps(windows.select(*row, one), row).select(
         "doc_id",
-        line_of(F.col("one.start")).alias("line"),
+        F.col("one.line").alias("line"),
         F.col("one.license_id").alias("license_id"),
         (-F.col("one.less")).alias("dice"),
         "_a",
         "_b",
-        line_of(F.col("one.behind") - 1).alias("last"),
+        F.col("one.last").alias("last"),
     )
 
 

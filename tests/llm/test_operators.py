@@ -15,6 +15,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from assayline.llm import (
     decontamination,
@@ -556,3 +558,88 @@ def test_query_equals_its_twin(spark, name):
     types, rows = spark_result(entry.queries()[name](spark, SMALL_TABLES))
     other_types, other_rows = duckdb_result(connect(SMALL_TABLES), queries.oracle_sql()[name])
     assert types == other_types and rows == other_rows and rows
+
+
+# ---- operators 1 and 10 on long texts, and passages against brute force --------------------------
+
+
+def plain_passages(text, listed, similarity=0.8):
+    """Windows of template length, taken best first: line, licence, dice, last line."""
+    normal = lambda t: [w for w in re.sub("[^a-z0-9]+", " ", t.lower()).split(" ") if w]
+    own = [(w, k) for k, line in enumerate((text or "").split("\n")) for w in normal(line)]
+    found = set()
+    for name, template in listed:
+        target = normal(template)
+        k = len(target)
+        wanted = {tuple(target[i : i + 2]) for i in range(k - 1)}
+        for s in range(len(own) - k + 1):
+            pairs = {(own[j][0], own[j + 1][0]) for j in range(s, s + k - 1)}
+            if k > 1 and pairs & wanted:
+                dice = 2.0 * len(pairs & wanted) / (len(pairs) + len(wanted))
+                if dice >= similarity:
+                    found.add((-dice, -k, name, s, s + k))
+    kept = []
+    for one in sorted(found):
+        if all(one[3] >= o[4] or o[3] >= one[4] for o in kept):
+            kept.append(one)
+    return [(own[s][1], name, -dice, own[e - 1][1]) for dice, _, name, s, e in kept]
+
+
+@pytest.mark.parametrize("chunk,bound", [(licenses.CHUNK_WORDS, licenses.BROADCAST_ROWS), (5, 0), (7, 1000)])
+def test_passages_equal_brute_force(spark, monkeypatch, chunk, bound):
+    monkeypatch.setattr(licenses, "CHUNK_WORDS", chunk)
+    chance = random.Random(3)
+    listed = [*licenses.TEMPLATES[:6], ("pair", "one two"), ("none", "--"), ("long", " ".join(f"t{i}" for i in range(40)))]
+    rows = []
+    for number in range(60):
+        parts = []
+        for _ in range(chance.randrange(1, 8)):
+            passage = listed[chance.randrange(len(listed))][1].split()
+            for _ in range(chance.randrange(3) if len(passage) > 3 else 0):
+                place = chance.randrange(len(passage))
+                passage[place : place + 1] = chance.choice([["zz"], [], [passage[place], passage[place]]])
+            parts.append(chance.choice([" ", "\n", " and "]).join(passage))
+        rows.append((number, chance.choice(["\n", " ", " x y ", ""]).join(parts)))
+    rows += [(100, None), (101, ""), (102, "one"), (None, "one two\none two one two"), (103, "one two " * 300)]
+    frame = spark.createDataFrame(rows + rows[-2:], "doc_id long, text string")
+    notices = spark.createDataFrame(listed, "license_id string, text string")
+    found = licenses.license_passages(frame, notices, broadcast_rows=bound).collect()
+    expected = [(d, *one) for d, text in rows for one in plain_passages(text, listed)]
+    assert sorted(((r.doc_id, r.line, r.license_id, r.dice, r.last) for r in found), key=repr) == sorted(expected, key=repr)
+
+
+def test_a_window_is_lost_only_to_one_that_is_kept(spark):
+    """Of three windows in a chain the first and the last stay, though the second is better than the last."""
+    names = ["doc_id", "_a", "_b"]
+    one = "named_struct('less', {}D, 'shorter', 1, 'license_id', 'x', 'start', {}, 'behind', {}) AS one"
+    windows = spark.sql(" UNION ALL ".join(f"SELECT 1L AS doc_id, 2L AS _a, 3L AS _b, {one.format(*w)}" for w in ((-1.0, 0, 10), (-0.9, 8, 18), (-0.85, 16, 26))))
+    kept = licenses._without_overlaps(windows, names).collect()
+    assert sorted(r.one.start for r in kept) == [0, 16]
+
+
+def test_long_texts_with_notices_and_without(spark):
+    line = "some words stand before Licensed under the Apache License, Version 2.0. and some behind it"
+    rows = [(1, "\n".join([line] * 5_000)), (2, "plain words without any notice " * 100_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.license_notices(frame, licenses.templates(spark), licenses.passages(spark)).collect()
+    assert sorted((r.doc_id, r.line) for r in found) == [(1, i) for i in range(5_000)]
+
+
+def test_long_items_and_awkward_documents(spark, awkward):
+    chance = random.Random(12)
+    item = [f"w{chance.randrange(900)}" for _ in range(2_000)]
+    around = [f"x{chance.randrange(900)}" for _ in range(3_000)]
+    swapped = item[1_000:] + item[:1_000]
+    docs = [(1, " ".join(around + item + around)), (2, " ".join(item)), (3, " ".join(around + swapped)), (4, " ".join(around))]
+    docs += [(5, "a " * 20_000), (6, "a " * 30), (7, "a b a b " * 500)]
+    items = [(1, " ".join(item)), (2, "a " * 60), (3, "a b " * 40)]
+    frame, listed = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for bound in (decontamination.BROADCAST_ROWS, 0):
+        found = {(r.doc_id, r.item_id): (r.start, r.similarity) for r in decontamination.leaks(frame, listed, broadcast_rows=bound).collect()}
+        assert found.pop((1, 1)) == (3_000, 1.0) and found.pop((2, 1)) == (0, 1.0)
+        assert found.pop((3, 1))[1] > 0.99
+        assert found == {(5, 2): (0, 1.0), (7, 3): (0, 1.0)}
+    clashing = awkward[0].select("*", *[F.lit(1).alias(c) for c in ("_leak_id", "_a", "words")])
+    kept = decontamination.without_leaks(clashing, listed)
+    assert kept.columns == clashing.columns and kept.count() == clashing.count()
+    assert decontamination.leaks(awkward[2], listed).count() == 0
