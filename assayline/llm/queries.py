@@ -67,14 +67,9 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    counted = token_counts.prefix_counts(table(spark, folder, "documents"), TOKENIZER)
-    total = token_counts.tokens_total("prefix_tokens")
-    return counted.select(
-        "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-        total.alias("n_tokens"),
-        (total > TOKEN_LIMIT).alias("over_limit"),
-    )
+    answered = token_counts.budget_answers(table(spark, folder, "documents"), TOKENIZER, TOKEN_LIMIT)
+    over = F.col("n_tokens") > TOKEN_LIMIT
+    return answered.select("doc_id", "n_bytes", "n_tokens", over.alias("over_limit"))
 
 
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

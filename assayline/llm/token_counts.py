@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,12 +71,38 @@ def prefix_counts(docs: DataFrame, path: str) -> DataFrame:
     length of the text. Within a word the counts come from dynamic programming over its prefixes,
     across words they add up. NULL text counts as empty: one element, 0. NULL and repeated doc_ids,
     and equal rows, are kept as they are; other columns are left out. A text of any length is one
-    row; the work per text is proportional to its length, but for runs with combining marks, where
-    it is quadratic in the length of the run.
+    row; the work per text is proportional to its length, but for runs that are not in composed form
+    (NFC), where it is quadratic in the length of the run.
     """
     return map_arrow(texts(docs), functools.partial(_tables, path), SCHEMA)
 
 
+ANSWERS = "doc_id long, n_bytes long, n_tokens long, fitting_chars long"
+_ANSWERS_ARROW = pa.schema([(part.split()[0], pa.int64()) for part in ANSWERS.split(", ")])
+
+
+def _answers(path: str, budget: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        totals, fitting = [], []
+        for text in batch["text"].to_pylist():
+            known = prefix_table(path, text or "")
+            totals.append(int(known[-1]))
+            fitting.append(int(np.flatnonzero(known <= budget)[-1]) if known[-1] > budget else len(known) - 1)
+        n_bytes = pc.fill_null(pc.binary_length(batch["text"]), 0).cast(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], n_bytes, pa.array(totals, pa.int64()), pa.array(fitting, pa.int64())], schema=_ANSWERS_ARROW
+        )
+
+
+def budget_answers(docs: DataFrame, path: str, budget: int) -> DataFrame:
+    """What the prefix counts of a text say of a budget, without handing out the counts themselves.
+
+    ``n_bytes`` of the text in UTF-8, ``n_tokens`` of all of it, and ``fitting_chars``, the most leading
+    code points that have at most ``budget`` tokens. Rows as in :func:`prefix_counts`.
+    """
+    return map_arrow(texts(docs), functools.partial(_answers, path, budget), ANSWERS)
+
+
 def tokens_total(prefix_tokens: str) -> Column:
     return F.element_at(prefix_tokens, -1).cast("long")
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import json
+import unicodedata
 from array import array
 from collections.abc import Sequence
 
@@ -280,10 +281,12 @@ class RunCounts(dict):
 
     def _part(self, part: str) -> list[int]:
         owner = self.owner
-        counts = owner.counts_of_run(part) if regex.fullmatch(r"\P{M}*", part) else []
+        # What is composed already stays so in every prefix, whatever marks it has.
+        stable = unicodedata.is_normalized("NFC", part)
+        counts = owner.counts_of_run(part) if stable else []
         if len(counts) == len(part) and counts and counts[-1] == len(owner.encode(part)):
             return counts
-        # Characters that combine: each prefix is normalised and encoded by itself.
+        # Characters yet to be composed: each prefix is normalised and encoded by itself.
         return [len(owner.encode(part[:k])) for k in range(1, len(part) + 1)]
 
 
