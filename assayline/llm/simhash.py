@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.components import components
+from assayline.llm.components import components, with_table
 from assayline.llm.frames import map_arrow, settled, texts
 
 SHINGLE_WORDS = 4
@@ -189,10 +189,14 @@ def groups(
     the radius; ``root`` is the least fingerprint of the chain as a signed integer.
     """
     printed = settled(fingerprints(docs, words))
-    nodes = printed.select("fingerprint").distinct()
-    roots = components(links(nodes, radius, segments))
-    roots = roots.withColumnRenamed("node", "fingerprint")
-    return printed.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rooted = with_table(printed, _roots(printed, radius, segments), ["fingerprint"], "left")
+    return rooted.withColumn("root", F.coalesce("root", "fingerprint"))
+
+
+def _roots(printed: DataFrame, radius: int, segments: int) -> DataFrame:
+    """``fingerprint`` and ``root`` of every fingerprint that has a link."""
+    linked = links(printed.select("fingerprint").distinct(), radius, segments)
+    return components(linked).withColumnRenamed("node", "fingerprint")
 
 
 def near_duplicates(
@@ -205,8 +209,13 @@ def near_duplicates(
     shorter than a shingle are one shingle. Equal rows, repeated and NULL doc_ids are rows of their
     own; an empty table gives no row; other columns are left out. No text is too long.
     """
-    grouped = groups(texts(docs), words, radius, segments)
-    least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return grouped.join(least, "root").select(
+    printed = settled(fingerprints(texts(docs), words))
+    # Everything about groups is settled among distinct fingerprints; rows learn of it at the end.
+    own = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"))
+    rooted = with_table(own, _roots(printed, radius, segments), ["fingerprint"], "left")
+    rooted = settled(rooted.withColumn("root", F.coalesce("root", "fingerprint")))
+    least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
+    named = with_table(rooted.select("fingerprint", "root"), least, ["root"]).select("fingerprint", "component_id")
+    return with_table(printed, named, ["fingerprint"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
