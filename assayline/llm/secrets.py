@@ -28,11 +28,18 @@ _ASSIGN = re.compile(
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}+")  # leftmost, so it starts where its run starts
-_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+_PEM = re.compile(
+    r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:\s*[A-Za-z][A-Za-z-]*:[^\n]*\n)*+)([A-Za-z0-9+/=\s]*)-----END \1-----"
+)
+_CIPHER = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,([0-9A-Fa-f]{16,})")
 _TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: Headers with white space behind the brace.
+_SPACED_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?:eyA|ewo|ew0|ewk)[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_.-])M[A-Za-z0-9+/]{39,}+={0,2}")
+#: The first line of a longer encoding and the lines behind it; how many belong to it, its length says.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_.-])M[A-Za-z0-9+/]{39,}+(?:\r?\n[\x20\t]*[A-Za-z0-9+/]++={0,2}+)++")
 _HEX_DER = re.compile(r"(?<![0-9A-Za-z])30[0-9A-Fa-f]{62,}+(?![0-9A-Za-z])")
-_SEQUENCE, _INTEGER = 0x30, 0x02
+_SEQUENCE, _INTEGER, _OBJECT, _OCTETS = 0x30, 0x02, 0x06, 0x04
 
 
 def _decoded(value: str) -> bytes | None:
@@ -74,6 +81,49 @@ def is_key_encoding(data: bytes | None) -> bool:
     return version in (0, 1, 2) and len(tags) >= 3
 
 
+def is_encrypted_key(data: bytes | None) -> bool:
+    """One sequence that fills the data and holds an algorithm, which begins with its identifier, and octets."""
+    outer = element(data, 0) if data else None
+    if not outer or outer[0] != _SEQUENCE or outer[2] != len(data):
+        return False
+    algorithm = element(data, outer[1])
+    octets = element(data, algorithm[2]) if algorithm else None
+    if not octets or algorithm[0] != _SEQUENCE or octets[0] != _OCTETS or octets[2] != len(data):
+        return False
+    name = element(data, algorithm[1])
+    return bool(name and name[0] == _OBJECT and name[2] <= algorithm[2] and octets[2] > octets[1])
+
+
+def _is_key(data: bytes | None) -> bool:
+    return is_key_encoding(data) or is_encrypted_key(data)
+
+
+def wrapped_key_end(text: str, start: int, end: int) -> int | None:
+    """Where the key encoding ends that begins at ``start`` and is wrapped over lines, if it is one.
+
+    Its first bytes state its length, which says how many of the characters belong to it.
+    """
+    head = _decoded(text[start : start + 8])
+    if not head or len(head) < 6 or head[0] != _SEQUENCE:
+        return None
+    size, begins = head[1], 2
+    if size & 0x80:
+        count = size & 0x7F
+        if not 1 <= count <= 4:
+            return None
+        size, begins = int.from_bytes(head[2 : 2 + count]), 2 + count
+    wanted = -(-4 * (begins + size) // 3)  # characters without padding
+    place = start
+    while wanted and place < end:
+        wanted -= not text[place].isspace() and text[place] != "="
+        place += 1
+    padded = place
+    while padded < end and text[padded] == "=" and padded < place + 2:
+        padded += 1
+    goes_on = padded < len(text) and (text[padded].isalnum() or text[padded] in "+/=")
+    return padded if not wanted and not goes_on and _is_key(_decoded(text[start:place])) else None
+
+
 def is_token_header(value: str) -> bool:
     """The first part of a signed token: a JSON object that names an algorithm."""
     data = _decoded(value)
@@ -94,24 +144,33 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     if any(word in lowered for word in _ASSIGN_WORDS):
         for match in _ASSIGN.finditer(text):
             if len(match.group(2)) >= 8:
-                sure = is_key_encoding(_decoded(match.group(2))) or is_token_header(match.group(2).partition(".")[0])
+                sure = _is_key(_decoded(match.group(2))) or is_token_header(match.group(2).partition(".")[0])
                 spans.append(("assign", *match.span(), 1.0 if sure else 0.5))
     if "AKIA" in text:
         spans.extend(("access", *m.span(), 0.5) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16)
     spans.extend(("hex", *m.span(), 0.5) for m in _HEX.finditer(text))
     if "PRIVATE KEY-----" in text:
         for match in _PEM.finditer(text):
-            data = _decoded(match.group(2))
+            headers, data = match.group(2), _decoded(match.group(3))
             opened = data is not None and data.startswith(b"openssh-key-v1\0")
-            if opened or is_key_encoding(data):
+            sealed = bool(data) and len(data) % 8 == 0 and "ENCRYPTED" in headers and _CIPHER.search(headers)
+            if opened or sealed or _is_key(data):
                 spans.append(("private_key", *match.span(), 1.0))
     if "eyJ" in text:
         for match in _TOKEN.finditer(text):
             if is_token_header(match.group().partition(".")[0]):
                 spans.append(("signed_token", *match.span(), 1.0))
+    if any(brace in text for brace in ("eyA", "ewo", "ew0", "ewk")):
+        for match in _SPACED_TOKEN.finditer(text):
+            if is_token_header(match.group().partition(".")[0]):
+                spans.append(("signed_token", *match.span(), 1.0))
     for match in _BASE64.finditer(text):
-        if is_key_encoding(_decoded(match.group())):
+        if _is_key(_decoded(match.group())):
             spans.append(("key_encoding", *match.span(), 1.0))
+    for match in _WRAPPED.finditer(text):
+        end = wrapped_key_end(text, *match.span())
+        if end is not None and "\n" in text[match.start() : end]:
+            spans.append(("key_encoding", match.start(), end, 1.0))
     for match in _HEX_DER.finditer(text):
         if len(match.group()) % 2 == 0 and is_key_encoding(bytes.fromhex(match.group())):
             spans.append(("key_encoding", *match.span(), 1.0))
@@ -129,7 +188,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     Assignments, access keys and long hexadecimal runs are reported by form. Private keys, signed
     tokens and bare key encodings are reported only if they decode: base64 or hexadecimal to one
-    sequence with nested lengths that fit, or to a header that names an algorithm. NULL and empty
+    sequence with nested lengths that fit, on one line or wrapped over several, encrypted or not, or to
+    a header that names an algorithm. NULL and empty
     texts have no spans; NULL and repeated doc_ids and equal rows stay as they are; an empty table
     gives no row; other columns are left out. Texts of any length are searched whole.
     """
