@@ -12,13 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.frames import map_arrow, texts
+from assayline.llm.frames import map_arrow, settled, texts
 
-FIT_ROWS = 6000  # labelled rows that the forest and its threshold are fitted on, at most
+FIT_ROWS = 6000  # labelled rows that the forests are grown on, at most; thresholds see all of them
+LABELS_BROADCAST = 1_000_000  # labelled ids of 12 bytes that are sent to every executor
 TREES = 100
 SUBSAMPLE = 256
 CLEAN_LOSS = 0.001  # share of the rows labelled good that a threshold may reject
-TELLING = 20  # times as many of the bad rows must lie above a threshold, or it is not used
+TELLING = 20  # times as many of the bad rows must lie above a threshold that good rows pay for
 MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -157,17 +158,30 @@ class Judge:
         return highest, rejected
 
 
-def calibrate(good: np.ndarray, bad: np.ndarray, loss: float, telling: float = TELLING) -> float:
-    """The threshold above which at most a share ``loss`` of the good rows lies, and far more bad ones.
-
-    It lies halfway between the good row it must keep and the next bad row, so that good rows unlike
-    the sample are kept. Scores that do not tell bad from good get a threshold that nothing exceeds.
-    """
-    allowed = np.sort(good)[::-1][min(len(good) - 1, int(loss * len(good)))]
-    above = bad[bad > allowed]
-    if len(above) <= telling * loss * len(bad):
+@dataclass
+class Above:
+    """What labelled rows say of a score: the good row that may be lost, the highest good row, and bad rows above."""
+
+    allowed: float
+    highest_good: float
+    bad: int
+    bad_above_allowed: int
+    least_bad_above_allowed: float | None
+    least_bad_above_good: float | None
+
+    def threshold(self, loss: float, telling: float = TELLING) -> float:
+        """Where a document is too unlike the good ones.
+
+        If far more bad rows than the share ``loss`` lie above the good row that may be lost, the
+        threshold is there. If not, it lies beyond every good row, so junk of a rare kind is rejected
+        and no good row pays for it. Either way it is halfway to the next bad row, so that good rows
+        unlike the labelled ones are kept. Where no bad row lies above, nothing is rejected.
+        """
+        if self.bad_above_allowed > telling * loss * self.bad:
+            return (self.allowed + self.least_bad_above_allowed) / 2
+        if self.least_bad_above_good is not None:
+            return (self.highest_good + self.least_bad_above_good) / 2
         return 1.0
-    return float((allowed + above.min()) / 2)
 
 
 # ---- frames --------------------------------------------------------------------------------------
@@ -194,32 +208,73 @@ def sample(labels: DataFrame, rows: int) -> DataFrame:
     return labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def _anomalies(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = np.array(batch["row"].to_pylist(), dtype=float).reshape(-1, len(STATISTICS) + len(FEATURES))
+        points = rows[:, len(STATISTICS) :]
+        scores = np.stack([forest.anomaly(points[:, columns]) for columns, forest in shared.value], axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [batch["label"], pa.array(scores.tolist(), pa.list_(pa.float64()))], names=["label", "scores"]
+        )
+
+
+def _above(scored: DataFrame, groups: int, loss: float) -> list[Above] | None:
+    """The exact order statistics of all labelled rows, for the score of each group."""
+    score = [F.col("scores")[i] for i in range(groups)]
+    good, bad = F.col("label") == 1, F.col("label") == 0
+    first = scored.agg(
+        F.count_if(good).alias("good"),
+        F.count_if(bad).alias("bad"),
+        *[F.max(F.when(good, s)).alias(f"highest_{i}") for i, s in enumerate(score)],
+    ).first()
+    if not first["good"] or not first["bad"]:
+        return None
+    lost = min(first["good"] - 1, int(loss * first["good"]))
+    ranked = [
+        scored.filter(good).select(F.lit(i).alias("i"), s.alias("s")).orderBy(F.desc("s")).offset(lost).limit(1)
+        for i, s in enumerate(score)
+    ]
+    allowed = dict(tuple(r) for r in functools.reduce(DataFrame.unionByName, ranked).collect())
+    measures = []
+    for i, s in enumerate(score):
+        measures.append(F.count_if(bad & (s > allowed[i])).alias(f"above_{i}"))
+        measures.append(F.min(F.when(bad & (s > allowed[i]), s)).alias(f"least_{i}"))
+        measures.append(F.min(F.when(bad & (s > first[f"highest_{i}"]), s)).alias(f"beyond_{i}"))
+    found = scored.agg(*measures).first()
+    return [
+        Above(allowed[i], first[f"highest_{i}"], first["bad"], found[f"above_{i}"], found[f"least_{i}"], found[f"beyond_{i}"])
+        for i in range(groups)
+    ]
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, loss: float = CLEAN_LOSS, seed: int = 7
 ) -> Judge:
-    """Forests over labelled rows and thresholds calibrated on those labelled good and bad.
+    """Forests over labelled rows, and thresholds calibrated on all rows labelled good and bad.
 
-    At most ``rows`` labelled ids are used; the forests draw subsamples of them. Rows that the base
-    rule rejects take no part. Unless rows of both labels are left, the base rule alone rejects.
+    The forests are grown on at most ``rows`` labelled documents, of which each tree draws a
+    subsample; the thresholds are exact order statistics of the scores of every labelled document.
+    Rows that the base rule rejects take no part. Of rows with one doc_id one is used. Unless rows of
+    both labels are left, the base rule alone rejects.
     """
-    chosen = sample(labelled(labels), rows)
-    held = texts(docs).join(F.broadcast(chosen), "doc_id")  # ``rows`` bounds the broadcast
-    found = map_arrow(held, _features, "doc_id long, label int, row array<double>")
-    found = found.groupBy("doc_id", "label").agg(F.min("row").alias("row")).orderBy("doc_id").collect()
-    table = np.array([[r["label"], *r["row"]] for r in found]).reshape(-1, 1 + len(STATISTICS) + len(FEATURES))
-    passing = [not base_failed(r[1], r[5]) for r in table]
-    table = table[np.array(passing, dtype=bool)]
-    points, label = table[:, 1 + len(STATISTICS) :], table[:, 0]
-    good, bad = points[label == 1], points[label == 0]
-    if not len(good) or not len(bad):
+    spark, every = docs.sparkSession, settled(labelled(labels))
+    every = F.broadcast(every) if every.count() <= LABELS_BROADCAST else every
+    found = map_arrow(texts(docs).join(every, "doc_id"), _features, "doc_id long, label int, row array<double>")
+    found = settled(found.groupBy("doc_id", "label").agg(F.min("row").alias("row")))
+    failed = (F.col("row")[0] < MIN_WORDS) | (100 * F.col("row")[4] > 50 * F.col("row")[0])
+    passing = found.filter(~failed)
+    chosen = passing.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
+    if not chosen:
+        return Judge([])
+    points = np.array([r["row"][len(STATISTICS) :] for r in sorted(chosen, key=lambda r: r["doc_id"])])
+    groups = [[FEATURES.index(name) for name in group] for group in GROUPS]
+    forests = [(columns, IsolationForest.fit(points[:, columns], seed=seed)) for columns in groups]
+    shared = spark.sparkContext.broadcast(forests)  # trees and subsample bound its size
+    scored = map_arrow(passing.select("label", "row"), functools.partial(_anomalies, shared), "label int, scores array<double>")
+    above = _above(settled(scored), len(groups), loss)
+    if above is None:
         return Judge([])
-    forests = []
-    for group in GROUPS:
-        columns = [FEATURES.index(name) for name in group]
-        forest = IsolationForest.fit(points[:, columns], seed=seed)
-        threshold = calibrate(forest.anomaly(good[:, columns]), forest.anomaly(bad[:, columns]), loss)
-        forests.append((columns, forest, threshold))
-    return Judge(forests)
+    return Judge([(columns, forest, one.threshold(loss)) for (columns, forest), one in zip(forests, above)])
 
 
 def _judged(judge: Judge, values: list[str | None]) -> list[tuple]:

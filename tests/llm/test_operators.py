@@ -522,6 +522,78 @@ def test_rules_without_labels_judge_by_the_base_alone(spark, tables):
     assert all(r.kept != r.base_failed for r in found)
 
 
+def plain_anomaly(forest, point):
+    """One point's way through every tree, step by step."""
+    total = 0.0
+    for feature, split, path in zip(forest.feature, forest.split, forest.path):
+        node = 0
+        while feature[node] >= 0:
+            node = 2 * node + (2 if point[feature[node]] > split[node] else 1)
+        total += path[node]
+    return 2.0 ** (-total / len(forest.path) / forest.expected)
+
+
+def plain_threshold(good, bad, loss):
+    good, bad = sorted(good, reverse=True), sorted(bad)
+    allowed = good[min(len(good) - 1, int(loss * len(good)))]
+    above = [b for b in bad if b > allowed]
+    if len(above) > quality_rules.TELLING * loss * len(bad):
+        return (allowed + above[0]) / 2
+    beyond = [b for b in bad if b > good[0]]
+    return (good[0] + beyond[0]) / 2 if beyond else 1.0
+
+
+@pytest.mark.parametrize("rows", [quality_rules.FIT_ROWS, 60])
+def test_verdicts_equal_a_plain_forest_and_plain_thresholds(spark, rows):
+    """Thresholds see every labelled row, however few the forests are grown on."""
+    folder = "/root/testdata/sf0.01"
+    documents, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    judge = quality_rules.fit(documents, labels, rows=rows, loss=0.02)
+    known, held = labels_by_id(spark, folder), {}
+    for row in documents.collect():
+        counts, features = quality_rules.statistics(row.text or "")
+        held[row.doc_id] = (quality_rules.base_failed(counts[0], counts[4]), features)
+    passing = [d for d in known if d in held and not held[d][0] and known[d] in (0, 1)]
+    expected = {d: not failed for d, (failed, _) in held.items()}
+    for columns, forest, threshold in judge.forests:
+        scores = {d: plain_anomaly(forest, [f[c] for c in columns]) for d, (_, f) in held.items()}
+        wanted = plain_threshold([scores[d] for d in passing if known[d]], [scores[d] for d in passing if not known[d]], 0.02)
+        assert threshold == pytest.approx(wanted)
+        for d in expected:
+            expected[d] &= scores[d] <= threshold
+    found = {r.doc_id: r.kept for r in quality_rules.judged(documents, judge).collect()}
+    assert len(judge.forests) == len(quality_rules.GROUPS) and found == expected
+    assert 0 < sum(found.values()) < len(found)
+
+
+def test_rare_junk_is_rejected_beyond_every_good_row():
+    above = lambda good, bad: quality_rules.Above(
+        sorted(good)[-2], max(good), len(bad), sum(b > sorted(good)[-2] for b in bad),
+        min((b for b in bad if b > sorted(good)[-2]), default=None), min((b for b in bad if b > max(good)), default=None),
+    )
+    good = [0.3, 0.4, 0.5, 0.6]
+    assert above(good, [0.7] * 5).threshold(0.01) == pytest.approx(0.6)
+    assert above(good, [0.1] * 500 + [0.9]).threshold(0.01) == pytest.approx(0.75)
+    assert above(good, [0.1] * 500 + [0.55]).threshold(0.01) == 1.0
+
+
+def test_scores_equal_a_plain_average(spark, tables):
+    folder = "/root/testdata/sf0.01"
+    model = quality_classifier.fit(*(spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels")), rows=200)
+    crc = lambda data, start=0: zlib.crc32(data, start) & (quality_classifier.BUCKETS - 1)
+    extra = [(1000, None), (1001, ""), (1002, "é ée ééé"), (1003, "same same same"), (1004, "ab " * 5_000)]
+    frame = spark.createDataFrame(tables[1][:60] + extra, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in quality_classifier.scored(frame, model).collect()}
+    for doc_id, text in tables[1][:60] + extra:
+        own = words(text)
+        features = [crc(b"</s>")] + [crc(b"<same>") for a, b in zip(own, own[1:]) if a == b]
+        for word in own:
+            marked = f"<{word}>"
+            features += [crc(word.encode())] + [crc(marked[i : i + 3].encode(), 1) for i in range(len(marked) - 2)]
+        logit = sum(float(model.weights[f]) for f in features) / len(features) + model.bias
+        assert found[doc_id] == pytest.approx(1 / (1 + np.exp(-logit)), rel=1e-5)
+
+
 def labels_by_id(spark, folder):
     return {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
 
