@@ -446,3 +446,21 @@ def test_a_partitioned_table_is_replaced(spark):
         assert tables.overwrite_table(df, "halves_test", partition_by=["half"]) == rows
         assert spark.table("halves_test").filter("half = 0").count() == (rows + 1) // 2
     tables.drop_table(spark, "halves_test")
+
+
+def test_header_only_files_run_through_the_jobs(spark, tmp_path):
+    for spec in TABLES:
+        write(tmp_path / spec.source_file, ",".join(spec.schema.fieldNames()) + "\n")
+    spark.sql("CREATE DATABASE IF NOT EXISTS empty_test")
+    spark.catalog.setCurrentDatabase("empty_test")
+    try:
+        assert all(o.success and o.row_count == 0 for o in jobs.run_bronze(spark, str(tmp_path)))
+        for run_id in ("one", "two"):
+            found = jobs.run_silver(spark, DAY, run_id=run_id)
+            assert {r.total_rows for r in found[jobs.QUALITY_REPORT].collect()} == {0}
+        assert {r.failed for r in spark.table(jobs.QUALITY_METRICS).collect()} == {0}
+        outcomes = jobs.run_gold(spark, DAY, allow_empty=True)
+        assert all(o.success and o.row_count == 0 for o in outcomes.values()), outcomes
+    finally:
+        spark.sql("DROP DATABASE empty_test CASCADE")
+        spark.catalog.setCurrentDatabase("default")
