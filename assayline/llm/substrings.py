@@ -25,6 +25,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _WORDS_KEPT = 400_000
 _CHUNK = 1 << 18
+TEXTS_PER_SALT = 256  # texts with one anchor whose windows meet in one task
 
 
 class _WordHashes(dict):
@@ -90,16 +91,21 @@ def _anchors(window: int, anchor: int, batches: Iterator[pa.RecordBatch]) -> Ite
 
 
 def _windows(window: int, anchor: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows whose anchor is among the shared ones of the text."""
-    names = ["doc_id", "_copy", "anchor", "hash", "start"]
+    """The windows whose anchor is among the shared ones of the text, dealt to the salts of the anchor."""
+    names = ["doc_id", "_copy", "anchor", "hash", "start", "salts", "salt"]
     for batch in batches:
         copies, ids = batch["_copy"].to_pylist(), batch["doc_id"].to_pylist()
         for row, text in enumerate(batch["text"].to_pylist()):
             hashes, least = _hashed(text, window, anchor)
-            shared = np.array(batch["shared"][row].as_py() or [], dtype=np.int64).view(np.uint64)
+            wanted = batch["shared"][row].values
+            shared = wanted.field("anchor").to_numpy().view(np.uint64)
+            order = np.argsort(shared)
+            shared, salts = shared[order], wanted.field("salts").to_numpy()[order]
             starts = np.flatnonzero(np.isin(least, shared))
+            drawn = xxhash.xxh64_intdigest(f"{ids[row]}:{copies[row]}") >> 33
             for at in range(0, len(starts), _CHUNK):
                 some = starts[at : at + _CHUNK]
+                own = salts[np.searchsorted(shared, least[some])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(some), ids[row], np.int64)),
@@ -107,6 +113,8 @@ def _windows(window: int, anchor: int, batches: Iterator[pa.RecordBatch]) -> Ite
                         pa.array(least[some].view(np.int64)),
                         pa.array(hashes[some].view(np.int64)),
                         pa.array(some.astype(np.int32)),
+                        pa.array(own.astype(np.int32)),
+                        pa.array((drawn % own).astype(np.int32)),
                     ],
                     names=names,
                 )
@@ -190,19 +198,30 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         single.withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("_key")))
     )
     anchors = named.select("doc_id", "_copy", F.explode("anchors").alias("anchor"))
-    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_texts")).filter("_texts > 1").select("anchor")
-    wanted = anchors.join(shared, "anchor").groupBy("doc_id", "_copy").agg(F.collect_set("anchor").alias("shared"))
+    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_texts")).filter("_texts > 1")
+    # A window is in no more texts than its anchor, so that one says into how many parts it is dealt.
+    shared = shared.select("anchor", F.expr(f"cast(_texts div {TEXTS_PER_SALT} + 1 as int)").alias("salts"))
+    wanted = anchors.join(shared, "anchor").groupBy("doc_id", "_copy").agg(
+        F.collect_set(F.struct("anchor", "salts")).alias("shared")
+    )
     names = named.select("doc_id", "_copy", "_key")
     wanted = names.join(wanted, ["doc_id", "_copy"])
     # Texts are dealt out by (doc_id, _key) twice, with the same columns, so that one shuffle serves both.
     windows = map_arrow(
         read.join(wanted, ["doc_id", "_key"]),
         functools.partial(_windows, window, anchor),
-        "doc_id long, _copy int, anchor long, hash long, start int",
+        "doc_id long, _copy int, anchor long, hash long, start int, salts int, salt int",
     )
-    first = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("_last_id"))
-    first = first.filter("first_id < _last_id").select("anchor", "hash", "first_id")
-    repeated = windows.join(first, ["anchor", "hash"]).filter("first_id < doc_id")
+    ends = [F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")]
+    # As an aggregate, so that the filters on it do not part the plan below the shuffle that both share.
+    parts = windows.groupBy("anchor", "hash", "salt").agg(F.max("salts").alias("salts"), *ends)
+    # Where a window has one part that is all of it. The parts of others are put together and dealt out again.
+    several = parts.filter("salts > 1").groupBy("anchor", "hash", "salts")
+    several = several.agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
+    several = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    first = parts.filter("salts = 1").unionByName(several).filter("first_id < last_id")
+    first = first.select("anchor", "hash", "salt", "first_id")
+    repeated = windows.join(first, ["anchor", "hash", "salt"]).filter("first_id < doc_id")
     starts = repeated.groupBy("doc_id", "_copy").agg(F.collect_set("start").alias("starts"))
     starts = names.join(starts, ["doc_id", "_copy"]).select("doc_id", "_key", "starts")
     owners = names.select("_key", F.col("doc_id").alias("owner"))
