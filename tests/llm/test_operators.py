@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from assayline.llm import (
+    components,
     decontamination,
     license_texts,
     licenses,
@@ -189,6 +190,18 @@ def test_repeats_equal_brute_force(tables, awkward):
     assert substrings.remove_repeats(awkward[2]).count() == 0
 
 
+@pytest.mark.parametrize("texts_per_salt", [substrings.TEXTS_PER_SALT, 3])
+def test_a_passage_of_many_texts_is_dealt_into_parts(spark, monkeypatch, texts_per_salt):
+    monkeypatch.setattr(substrings, "TEXTS_PER_SALT", texts_per_salt)
+    chance = random.Random(2)
+    fresh = lambda n: " ".join(f"w{chance.randrange(10**9)}" for _ in range(n))
+    passages = [fresh(70), fresh(55)]
+    rows = [(i, f"{fresh(chance.randrange(40))} {passages[i % 4 == 0]} {fresh(chance.randrange(60))}") for i in range(60)]
+    rows += [(100 + i, f"{passages[0]} {passages[1]}") for i in range(5)] + [(7, passages[1]), (None, passages[0])]
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.kept_text, r.n_words, r.n_removed) for r in found), key=repr) == without_repeats(rows)
+
+
 def test_passages_and_intervals(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(3, f"a {passage} b"), (1, f"c d {passage}"), (2, passage), (4, " ".join(passage.split()[:49]))]
@@ -770,3 +783,33 @@ def test_long_items_and_awkward_documents(spark, awkward):
     kept = decontamination.without_leaks(clashing, listed)
     assert kept.columns == clashing.columns and kept.count() == clashing.count()
     assert decontamination.leaks(awkward[2], listed).count() == 0
+
+
+# ---- hot keys ------------------------------------------------------------------------------------
+
+
+def test_rows_of_a_hot_key_stay_in_place_or_are_split(spark, monkeypatch):
+    """A third of the rows share one fingerprint; the table over fingerprints is an aggregate of the same rows."""
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("fingerprint"),
+        F.sha2(F.col("id").cast("string"), 512).alias("filler"),
+    )
+    table = rows.groupBy("fingerprint").agg(F.count("filler").alias("n"))
+    placed = components.with_table(rows, table, ["fingerprint"])
+    assert "BroadcastHashJoin" in placed._jdf.queryExecution().executedPlan().toString()
+    saved = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    monkeypatch.setattr(components, "BROADCAST_ROWS", 0)
+    for name, value in saved.items():
+        spark.conf.set(name, value)
+    try:
+        split = components.with_table(rows, table, ["fingerprint"])
+        assert {r[0]: r[1] for r in split.groupBy("n").count().collect()} == {100_000: 100_000, 1: 200_000}
+        split.collect()
+        assert "skew=true" in split._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in saved:
+            spark.conf.unset(name)
