@@ -190,9 +190,7 @@ def test_repeats_equal_brute_force(tables, awkward):
     assert substrings.remove_repeats(awkward[2]).count() == 0
 
 
-@pytest.mark.parametrize("texts_per_salt", [substrings.TEXTS_PER_SALT, 3])
-def test_a_passage_of_many_texts_is_dealt_into_parts(spark, monkeypatch, texts_per_salt):
-    monkeypatch.setattr(substrings, "TEXTS_PER_SALT", texts_per_salt)
+def test_a_passage_that_most_texts_hold(spark):
     chance = random.Random(2)
     fresh = lambda n: " ".join(f"w{chance.randrange(10**9)}" for _ in range(n))
     passages = [fresh(70), fresh(55)]
