@@ -165,12 +165,15 @@ def run_silver(
     return {**silver, QUALITY_REPORT: report}
 
 
+def blocked_tables(report: DataFrame) -> DataFrame:
+    """The rows of the report that say how many verdicts pass, of tables at the critical alert level."""
+    verdicts = metrics.with_alerts(report.filter(F.col("check_type") == fixed.OVERALL))
+    return verdicts.filter(F.col("alert_level") == "critical")
+
+
 def promotion_gate(report: DataFrame) -> None:
     """Raise when the verdicts of any table are at the critical alert level."""
-    critical = metrics.with_alerts(report.filter(F.col("check_type") == fixed.OVERALL)).filter(
-        F.col("alert_level") == "critical"
-    )
-    blocked = [row["table_name"] for row in critical.collect()]  # at most a row per table
+    blocked = [row["table_name"] for row in blocked_tables(report).collect()]  # at most a row per table
     if blocked:
         raise ValueError(f"pass rate below {fixed.WARNING_FROM:.1%}: {', '.join(sorted(blocked))}")
 

@@ -555,6 +555,42 @@ def _injected() -> str:
     )
 
 
+def _dimension_metrics() -> str:
+    parts = {
+        "completeness": [
+            _null_metric("customers", "email"), _null_metric("orders", "customer_id"), _null_metric("orders", "product_id"),
+        ],
+        "uniqueness": [_unique_metric(t) for t in _REQUIRED],
+        "type_validation": _TYPE_METRICS,
+        "referential_integrity": [
+            _orphan_metric(_ORPHAN_CUSTOMER, "customer_id"), _orphan_metric(_ORPHAN_PRODUCT, "product_id"),
+        ],
+    }
+    columns = {
+        "completeness": "table_name, field_name, null_count",
+        "uniqueness": "table_name, field_name, duplicate_rows",
+        "type_validation": "table_name, rule_name, invalid_rows",
+        "referential_integrity": "'bronze_orders' AS table_name, check_name, orphan_rows",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{d}' AS dimension, table_name, measure, failed_rows, pass_rate FROM "
+        f"(SELECT {columns[d]}, pass_rate FROM ({part})) AS m(table_name, measure, failed_rows, pass_rate)"
+        for d, listed in parts.items()
+        for part in listed
+    )
+
+
+_TYPE_METRICS = [
+    _rule_metric("customers", "email", "email format", f"regexp_matches(email, {_EMAIL})"),
+    _rule_metric("customers", "signup_date", "valid date not in future", f"signup_date <= {_AS_OF}"),
+    _rule_metric("orders", "quantity", "positive integer", "quantity > 0 AND floor(quantity) = quantity"),
+    _rule_metric("orders", "total_amount", "positive decimal", "total_amount > 0"),
+    _rule_metric("orders", "order_date", "valid date not in future", f"order_date <= {_AS_OF}"),
+    _rule_metric("products", "price", "positive price", "price > 0"),
+    _rule_metric("products", "cost", "positive and less than price", "cost > 0 AND cost < price"),
+]
+
+
 _EXTENDED_TYPES = f"""
 SELECT 'silver_customers' AS table_name, customer_id AS row_key,
        CASE WHEN email IS NOT NULL AND NOT regexp_matches(email, {_EMAIL})
@@ -636,6 +672,20 @@ UNION ALL SELECT 'cost', lower(any_value(typeof(cost))), count(*), count(cost) F
     ),
     "landing_in_latin1": "SELECT customer_id, 'José ' || customer_name AS customer_name FROM fx_customers",
     "stored_layer_counts": _stored_counts(),
+    "landing_outcomes": """
+SELECT 'bronze_customers' AS table_name, TRUE AS success, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error_kind FROM fx_customers
+UNION ALL SELECT 'bronze_products', FALSE, 0, 'missing_source'
+UNION ALL SELECT 'bronze_orders', TRUE, count(*), NULL FROM fx_orders""",
+    "verdict_without_flags": "SELECT order_id, 'PASS' AS quality_check_result FROM fx_orders",
+    "promotion_blocked_tables": f"""SELECT *, 'critical' AS alert_level, FALSE AS below_check_limit
+FROM ({_report()}) WHERE check_type = 'overall' AND passed < 0.99 * total_rows""",
+    "dimension_metrics": _dimension_metrics(),
+    "dimension_flags": f"""
+SELECT 'quality_completeness' AS dimension, {_COMPLETE_ORDERS} AS flag, count(*) AS row_count FROM fx_orders GROUP BY 2
+UNION ALL SELECT 'quality_uniqueness', flag, count(*) FROM (SELECT {_unique("order_id")} AS flag FROM fx_orders) GROUP BY flag
+UNION ALL SELECT 'quality_type_validation', {_TYPE_ORDERS} AS flag, count(*) FROM fx_orders GROUP BY 2
+UNION ALL SELECT 'quality_referential_integrity', flag, count(*)
+FROM (SELECT {_REFERENTIAL} AS flag FROM fx_orders o) GROUP BY flag""",
     "stored_top_products": _PICK_TOP_PRODUCTS.format(where=""),
     "stored_revenue_histogram": _histogram(),
     "stored_segmentation": """SELECT segment_type, customer_count, pct_of_total_customers,
@@ -684,25 +734,7 @@ FROM lineitem""",
     "dq_type_products": f"""SELECT product_id, price, cost,
        {_TYPE_PRODUCTS} AS quality_type_validation FROM fx_products""",
     "dq_type_extended": _EXTENDED_TYPES,
-    "dq_metric_type_rules": "\nUNION ALL\n".join(
-        [
-            _rule_metric("customers", "email", "email format", f"regexp_matches(email, {_EMAIL})"),
-            _rule_metric(
-                "customers", "signup_date", "valid date not in future", f"signup_date <= {_AS_OF}"
-            ),
-            _rule_metric(
-                "orders", "quantity", "positive integer", "quantity > 0 AND floor(quantity) = quantity"
-            ),
-            _rule_metric("orders", "total_amount", "positive decimal", "total_amount > 0"),
-            _rule_metric(
-                "orders", "order_date", "valid date not in future", f"order_date <= {_AS_OF}"
-            ),
-            _rule_metric("products", "price", "positive price", "price > 0"),
-            _rule_metric(
-                "products", "cost", "positive and less than price", "cost > 0 AND cost < price"
-            ),
-        ]
-    ),
+    "dq_metric_type_rules": "\nUNION ALL\n".join(_TYPE_METRICS),
     "silver_standardize": "SELECT * FROM fx_orders",
     "dq_orphans_customer": _orphans(_ORPHAN_CUSTOMER, "customer_id"),
     "dq_orphans_product": _orphans(_ORPHAN_PRODUCT, "product_id"),

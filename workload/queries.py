@@ -266,6 +266,24 @@ def stored_layer_counts(spark: SparkSession, folder: str) -> DataFrame:
         return _kept(spark, metrics.union_all(counts))
 
 
+@query
+def landing_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of each extract when one is absent: the others land all the same."""
+    database, former = f"outcomes_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        with _landing(spark) as path:
+            for spec in (CUSTOMERS, ORDERS):
+                write_csv(star.BUILDERS[spec.name](spark, folder), f"{path}/{spec.source_file}")
+            found = jobs.run_bronze(spark, path)
+        rows = [(o.table_name, o.success, o.row_count, o.error_kind) for o in found]
+        return spark.createDataFrame(rows, "table_name string, success boolean, row_count long, error_kind string")
+    finally:
+        spark.catalog.setCurrentDatabase(former)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 @query
 def stored_top_products(spark: SparkSession, folder: str) -> DataFrame:
     with _stored_layers(spark, folder):
@@ -564,6 +582,12 @@ def quarantine_orders(spark: SparkSession, folder: str) -> DataFrame:
     return checks.failing(_orders(spark, folder))
 
 
+@query
+def verdict_without_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that no check has flagged pass."""
+    return checks.combine_flags(star.orders(spark, folder).select("order_id"))
+
+
 @query
 def rows_by_failure_reason(spark: SparkSession, folder: str) -> DataFrame:
     found = checks.failing_with(_orders(spark, folder), "ORPHAN customer_id")
@@ -666,6 +690,55 @@ def quality_alert_level(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.with_alerts(metrics.quality_report(_silver_named(spark, folder)))
 
 
+@query
+def promotion_blocked_tables(spark: SparkSession, folder: str) -> DataFrame:
+    return jobs.blocked_tables(metrics.quality_report(_silver_named(spark, folder)))
+
+
+@query
+def dimension_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """What each quality dimension measures when it is run alone, over all tables."""
+    bronze = _bronze(spark, folder)
+    measured = {
+        "completeness": (dimensions.completeness(bronze)[1], "field_name", "null_count"),
+        "uniqueness": (dimensions.uniqueness(bronze)[1], "field_name", "duplicate_rows"),
+        "type_validation": (dimensions.type_validation(bronze, AS_OF)[1], "rule_name", "invalid_rows"),
+        "referential_integrity": (dimensions.referential_integrity(bronze)[1], "check_name", "orphan_rows"),
+    }
+    return metrics.union_all(
+        [
+            df.select(
+                F.lit(name).alias("dimension"),
+                (F.col("table_name") if "table_name" in df.columns else F.lit(ORDERS.bronze)).alias("table_name"),
+                F.col(measure).alias("measure"),
+                F.col(failed).alias("failed_rows"),
+                "pass_rate",
+            )
+            for name, (df, measure, failed) in measured.items()
+        ]
+    )
+
+
+@query
+def dimension_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that a dimension run alone flags, by dimension and flag."""
+    bronze = _bronze(spark, folder)
+    flagged = {
+        checks.COMPLETENESS: dimensions.completeness(bronze),
+        checks.UNIQUENESS: dimensions.uniqueness(bronze),
+        checks.TYPE_VALIDATION: dimensions.type_validation(bronze, AS_OF),
+        checks.REFERENTIAL: dimensions.referential_integrity(bronze),
+    }
+    return metrics.union_all(
+        [
+            frames["orders"].groupBy(F.lit(column).alias("dimension"), F.col(column).alias("flag")).agg(
+                F.count(F.lit(1)).alias("row_count")
+            )
+            for column, (frames, _) in flagged.items()
+        ]
+    )
+
+
 @query
 def failures_by_reason(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.failures_by_reason(_orders(spark, folder)).orderBy(F.desc("row_count"))
