@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +116,60 @@ def test_near_dedup_stage_equals_brute_force_similarity(spark, monkeypatch, bloc
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     found = corpus_pipeline.near_dedup_stage(spark, frame, SMALL_TABLES)
     assert sorted(r.doc_id for r in found.collect()) == first_of_groups(rows)
+
+
+def test_wide_fingerprints_are_majorities_of_mixed_hashes():
+    full, chance = (1 << 64) - 1, random.Random(3)
+    for count in (1, 4, 5, 254, 300, 2100):
+        shingles = [chance.getrandbits(64) for _ in range(count)]
+        found = shingle_groups.wide_fingerprint(np.array(shingles, np.uint64), 3)
+        for word in range(3):
+            ones = [0] * 64
+            for x in shingles:
+                x = (x + (word + 1) * 0x9E3779B97F4A7C15) & full
+                x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & full
+                x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & full
+                x ^= x >> 31
+                ones = [n + (x >> i & 1) for i, n in enumerate(ones)]
+            assert int(found[word]) == sum(1 << i for i, n in enumerate(ones) if 2 * n > count)
+
+
+def connected(nodes, pairs):
+    """The least node of each node's cluster."""
+    root = {n: n for n in nodes}
+    for _ in nodes:
+        former = dict(root)
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == former:
+            break
+    return root
+
+
+@pytest.mark.parametrize("block", [shingle_groups.BLOCK, 3])
+def test_near_dedup_stage_proposes_by_simhash(spark, monkeypatch, block):
+    texts = [text for _, text in edited_texts()]
+    own = texts[-10].split()
+    for i in range(60):  # a large group of near copies
+        texts.append(" ".join([*own[:i], "edited", *own[i + 1 :]]))
+    sets = {shingle_groups.node_of(s): s for s in map(shingle_groups.shingle_set, texts) if len(s)}
+    width, segments = shingle_groups.segmenting(len(texts))
+    prints = {n: shingle_groups.wide_fingerprint(s, 9) for n, s in sets.items()}
+    keys = {n: shingle_groups.segment_keys(p[None], width, segments)[0] for n, p in prints.items()}
+    wanted = [
+        (a, b)
+        for a, b in itertools.combinations(prints, 2)
+        if sum((int(x) ^ int(y)).bit_count() for x, y in zip(prints[a][:4], prints[b][:4])) <= shingle_groups.RADIUS
+        and (keys[a] == keys[b]).any()
+    ]
+    frame = spark.createDataFrame([(n, bytearray(p.tobytes())) for n, p in prints.items()], "node long, print binary")
+    found = [tuple(r) for r in shingle_groups._proposed(frame, width, segments, block, 0).collect()]
+    assert connected(prints, found) == connected(prints, wanted)
+    assert len(found) < len(wanted) / 2 and len(found) <= 3 * len(prints)
+
+    # The stage links nothing that was not proposed.
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(shingle_groups, "_proposed", lambda *_: none)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    single = corpus_pipeline.near_dedup_stage(spark, frame, SMALL_TABLES)
+    assert single.count() == len({frozenset(plain_shingles(t)) for t in texts})
